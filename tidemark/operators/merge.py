@@ -66,12 +66,14 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     """The last row of every key by a total order, order columns dropped.
 
     An aggregate rather than a window: each task first keeps one row per key.
+    Without order columns the greatest values win, so the result is the same on
+    every run.
     """
     values = [c for c in df.columns if c not in keys and c not in order]
     kept = [c for c in df.columns if c not in order]
     if not values:
         return df.select(*_cols(keys)).distinct().select(*_cols(kept))
-    last = F.max_by(F.struct(*_cols(values)), F.struct(*_cols(order)))
+    last = F.max_by(F.struct(*_cols(values)), F.struct(*_cols(order or values)))
     rows = df.groupBy(*_cols(keys)).agg(last.alias("_last"))
     return rows.select(*_cols(keys), "_last.*").select(*_cols(kept))
 

@@ -53,6 +53,7 @@ class Ingest:
         self, spark: SparkSession, spec: IngestSpec, targets: LakeTargets, ledger: Ledger
     ) -> None:
         self.spark, self.spec, self.targets, self.ledger = spark, spec, targets, ledger
+        self._schemas: dict[str, T.StructType] = {}
 
     def plan(self) -> DataFrame:
         """Dry run: what would be loaded where."""
@@ -88,8 +89,7 @@ class Ingest:
         return scans
 
     def _typed(self, scan: DataFrame, name: str) -> DataFrame:
-        schema = self.targets.schema(name)
-        return conform_keeping(scan, schema, (FILE_KEY, ROW_ORDER))
+        return conform_keeping(scan, self._schemas[name], (FILE_KEY, ROW_ORDER))
 
     def _counts(self, scans: Sequence[DataFrame], table: str, chunk: Sequence, commit_id: str):
         """Ledger rows of a chunk; files without rows get none."""
@@ -111,12 +111,9 @@ class Ingest:
             F.lit(commit_id).alias("commit_id"),
         )
 
-    def _record(self, scans, table: str, chunk: Sequence, commit_id: str) -> tuple[int, int]:
+    def _record(self, scans, table: str, chunk: Sequence, commit_id: str) -> dict:
         """Write the ledger rows, which count once the commit is made."""
-        self.ledger.mark_files(self._counts(scans, table, chunk, commit_id))
-        done = self.ledger.read("files").where(F.col("commit_id") == commit_id)
-        row = done.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows_ingested"), F.lit(0))).first()
-        return row[0], row[1]
+        return self.ledger.mark_files(self._counts(scans, table, chunk, commit_id))
 
     # writing
 
@@ -125,12 +122,14 @@ class Ingest:
 
     def _ensure(self, table: str, route: IngestRoute | None, scan: DataFrame) -> None:
         name = self._name(table)
-        if self.targets.exists(name):
+        if name in self._schemas:
             return
-        if route is None or not route.create_if_missing:
-            raise MissingTable(f"target table {name} does not exist")
-        data = scan.drop(FILE_KEY, ROW_ORDER)
-        self.targets.create(name, for_target(data).schema, route.key_columns)
+        if not self.targets.exists(name):
+            if route is None or not route.create_if_missing:
+                raise MissingTable(f"target table {name} does not exist")
+            data = scan.drop(FILE_KEY, ROW_ORDER)
+            self.targets.create(name, for_target(data).schema, route.key_columns)
+        self._schemas[name] = self.targets.schema(name)
 
     def _merge(self, table: str, rows: Iterator) -> tuple[int, int]:
         """Insert or upsert; every column set of a chunk is a commit of its own."""
@@ -151,8 +150,8 @@ class Ingest:
             self._ensure(table, route, scan)
             batch = self._typed(scan, name)
             commit_id = uuid.uuid4().hex
-            f, r = self._record([scan], table, chunk, commit_id)
-            if f == 0:
+            done = self._record([scan], table, chunk, commit_id)
+            if done["files"] == 0:
                 continue
             if self.spec.write_mode == "insert":
                 self.targets.insert(name, batch.drop(FILE_KEY, ROW_ORDER), commit_id)
@@ -161,7 +160,7 @@ class Ingest:
                     name, batch, route.key_columns, (FILE_KEY, ROW_ORDER),
                     self.spec.on_duplicate, commit_id,
                 )
-            n_files, n_rows = n_files + f, n_rows + r
+            n_files, n_rows = n_files + done["files"], n_rows + done["rows"]
         return n_files, n_rows
 
     def _replace(self, table: str, rows: Iterator) -> tuple[int, int]:
@@ -175,11 +174,13 @@ class Ingest:
         for chunk in _chunks(rows, self.spec.files_per_batch):
             scans = self._scans(chunk)
             self._ensure(table, self._route(chunk[0]), scans[0])
-            f, r = self._record(scans, table, chunk, commit_id)
-            n_files, n_rows = f, r
+            done = self._record(scans, table, chunk, commit_id)
+            if done["files"] == 0:
+                continue
+            n_files, n_rows = n_files + done["files"], n_rows + done["rows"]
             if self.spec.truncate == "per_file":
                 folders = []
-                scans = self._last_file(scans, commit_id)
+                scans = [s.where(F.col(FILE_KEY) == done["last"]) for s in scans]
             for scan in scans:
                 batch = self._typed(scan, name).drop(FILE_KEY, ROW_ORDER)
                 folders.append(self.targets.stage(name, batch))
@@ -187,11 +188,6 @@ class Ingest:
             self.targets.replace(name, folders, commit_id)
         return n_files, n_rows
 
-    def _last_file(self, scans: Sequence[DataFrame], commit_id: str) -> list[DataFrame]:
-        done = self.ledger.read("files").where(F.col("commit_id") == commit_id)
-        last = done.agg(F.max("file_key")).first()[0]
-        return [s.where(F.col(FILE_KEY) == last) for s in scans]
-
 
 def conform_keeping(df: DataFrame, schema: T.StructType, kept: Sequence[str]) -> DataFrame:
     """``conform`` with some columns passed through as they are."""

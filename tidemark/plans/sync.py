@@ -243,11 +243,14 @@ def sync_plan(
     plans = []
     for spec in tables:
         df = source(spec)
-        row = spark.createDataFrame([plan_row(spec, df.schema)], PLAN_SCHEMA)
+        fields = T._parse_datatype_string(PLAN_SCHEMA).fields
+        values = zip(fields, plan_row(spec, df.schema))
+        columns = [F.lit(v).cast(f.dataType).alias(f.name) for f, v in values]
         if count_rows:
             seen = F.count(F.lit(1) if spec.watermark is None else F.col(f"`{spec.watermark}`"))
-            row = row.crossJoin(F.broadcast(df.agg(seen.alias("source_rows"))))
-        plans.append(row)
+            plans.append(df.agg(seen.alias("source_rows")).select(*columns, "source_rows"))
+        else:
+            plans.append(spark.range(1).select(*columns))
     out = plans[0]
     for plan in plans[1:]:
         out = out.unionByName(plan)

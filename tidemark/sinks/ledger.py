@@ -13,7 +13,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,8 +93,11 @@ class Ledger:
     def next_seq(self, log: str) -> int:
         return int(self.read(log).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]) + 1
 
-    def append(self, log: str, rows: DataFrame) -> None:
-        """Add rows; the sequence number is set here, one per append."""
+    def append(self, log: str, rows: DataFrame, *watched: Column) -> dict:
+        """Add rows; the sequence number is set here, one per append.
+
+        Returns the watched aggregates of the rows, from the same pass.
+        """
         with self._lock:
             seq = self.next_seq(log)
             path = self._epoch_path(log, self._current_epoch(log))
@@ -107,27 +110,38 @@ class Ledger:
                     for f in schema.fields
                 ]
             )
+            seen = Observation()
+            if watched:
+                out = out.observe(seen, *watched)
             # One small file per append; batches of files are bounded upstream.
             out.coalesce(1).write.parquet(f"{path}/append-{uuid.uuid4().hex}")
+            return seen.get if watched else {}
 
     def append_row(self, log: str, **values: object) -> None:
         schema = T._parse_datatype_string(SCHEMAS[log])
         fields = [f for f in schema.fields if f.name in values]
-        row = self.spark.createDataFrame(
-            [tuple(values[f.name] for f in fields)], T.StructType(fields)
-        )
-        self.append(log, row)
+        columns = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in fields]
+        self.append(log, self.spark.range(1).select(*columns))
 
     def _start_epoch(self, log: str, rows: DataFrame) -> None:
         epoch = max(self._epochs(log), default=0) + 1
         rows.write.parquet(f"{self._epoch_path(log, epoch)}/snapshot")
 
-    def compact(self, log: str) -> None:
-        """Rewrite a log to the latest row per key in a new epoch."""
-        if log == "commits":
-            self._start_epoch(log, self.read(log).coalesce(1))
-        else:
+    def compact(self) -> None:
+        """Rewrite all logs to what still counts, in new epochs; no load may run beside.
+
+        Loaded files let go of their commits first, so that commits a later
+        replacement has made void can be dropped.
+        """
+        self._start_epoch("files", self.files().withColumn("commit_id", F.lit(None).cast("string")))
+        for log in ("progress", "intents", "runs"):
             self._start_epoch(log, latest(self.read(log), KEYS[log]))
+        commits = self.read("commits")
+        start = commits.where("kind IN ('create', 'replace')").groupBy("table_name").agg(
+            F.max("seq").alias("start")
+        )
+        live = commits.join(start, "table_name").where("seq >= start").drop("start")
+        self._start_epoch("commits", live)
 
     # progress
 
@@ -228,10 +242,18 @@ class Ledger:
     def is_file_ingested(self, key: str) -> bool:
         return not self.files().where(F.col("file_key") == key).isEmpty()
 
-    def mark_files(self, rows: DataFrame) -> None:
-        """Record files: ``file_key, target_table, rows_ingested`` and more."""
-        self.append(
-            "files", rows.withColumn("ingested_at", F.lit(utc_now())).withColumn("op", F.lit("set"))
+    def mark_files(self, rows: DataFrame) -> dict:
+        """Record files: ``file_key, target_table, rows_ingested`` and more.
+
+        Returns how many files and rows there were and the last file key.
+        """
+        marked = rows.withColumn("ingested_at", F.lit(utc_now())).withColumn("op", F.lit("set"))
+        return self.append(
+            "files",
+            marked,
+            F.count(F.lit(1)).alias("files"),
+            F.coalesce(F.sum("rows_ingested"), F.lit(0)).alias("rows"),
+            F.max("file_key").alias("last"),
         )
 
     def mark_file(self, key: str, table: str, rows: int) -> None:
@@ -282,10 +304,9 @@ class Ledger:
 
     def commits(self, table: str) -> list:
         """Commits of one target table in order, from its last replacement on."""
-        log = self.read("commits").where(F.col("table_name") == table)
-        start = log.where("kind IN ('create', 'replace')").agg(F.max("seq").alias("start"))
-        live = log.join(F.broadcast(start), F.col("seq") >= F.col("start"), "left_semi")
-        return live.orderBy("seq").collect()
+        rows = self.read("commits").where(F.col("table_name") == table).orderBy("seq").collect()
+        starts = [i for i, r in enumerate(rows) if r["kind"] in ("create", "replace")]
+        return rows[starts[-1]:] if starts else []
 
     def is_committed(self, commit_id: str) -> bool:
         return not self.read("commits").where(F.col("commit_id") == commit_id).isEmpty()

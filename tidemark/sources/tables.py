@@ -139,22 +139,31 @@ def resolve_tables(listing: DataFrame, schema: str, exclude: Sequence[str] = ())
     return tables.where(~F.col("table_name").isin(*exclude)) if exclude else tables
 
 
-def introspect(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
-    """Columns of a table in ordinal order with source, lake and target types."""
-    return spark.createDataFrame(introspect_rows(name, df.schema), INTROSPECTION)
+def introspect(name: str, df: DataFrame) -> DataFrame:
+    """Columns of a table in ordinal order with source, lake and target types.
 
-
-INTROSPECTION = (
-    "table_name string, ordinal int, column_name string, source_type string, "
-    "lake_type string, target_type string, is_nullable boolean"
-)
+    The non-NULL rows of every column are counted in one pass.
+    """
+    fields = df.schema.fields
+    counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(fields)])
+    rows = [
+        F.struct(
+            F.lit(name).alias("table_name"),
+            F.lit(i + 1).alias("ordinal"),
+            F.lit(f.name).alias("column_name"),
+            F.lit(source_type(f)).alias("source_type"),
+            F.lit(f.dataType.simpleString()).alias("lake_type"),
+            F.lit(target_type(f.dataType)).alias("target_type"),
+            F.lit(f.nullable).alias("is_nullable"),
+            F.col(f"n{i}").alias("non_null_rows"),
+        )
+        for i, f in enumerate(fields)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
-def introspect_rows(name: str, schema: T.StructType) -> list[tuple]:
+def column_info(schema: T.StructType) -> list[tuple[int, str, str, bool]]:
+    """(ordinal, name, source type, nullable) of each column, from the schema alone."""
     return [
-        (
-            name, i, f.name, source_type(f), f.dataType.simpleString(),
-            target_type(f.dataType), f.nullable,
-        )
-        for i, f in enumerate(schema.fields, start=1)
+        (i, f.name, source_type(f), f.nullable) for i, f in enumerate(schema.fields, start=1)
     ]
