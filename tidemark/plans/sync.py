@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tidemark.functions.contracts import to_lake
 from tidemark.operators import increments, quality
 from tidemark.operators.increments import Frontier, Position
+from tidemark.session import configure
 from tidemark.sinks import parquet
 from tidemark.sinks.ledger import Intent, Ledger, utc_now
 from tidemark.sinks.tables import append_table
@@ -81,7 +82,7 @@ class Sync:
         rules: Mapping[str, Mapping[str, tuple[str, str]]] | None = None,
         relational: bool = False,
     ) -> None:
-        self.spark, self.spec, self.source, self.ledger = spark, spec, source, ledger
+        self.spark, self.spec, self.source, self.ledger = configure(spark), spec, source, ledger
         self.source_types = dict(source_types or {})
         self.rules = dict(rules or {})
         self.relational = relational
@@ -203,9 +204,7 @@ class Sync:
             if self.spec.write_mode == "overwrite" and spec.watermark is None:
                 # The new copy is whole before the old ones go.
                 delete_except(self.spark, parquet.run_folders(base, spec), path)
-        if intent.hi is not None:
-            self.ledger.set_progress(name, intent.hi, intent.run_id)
-        self.ledger.finish_intent(name, intent.run_id)
+        self.ledger.finish(name, intent)
         return SyncOutcome(name, count, intent.hi, path)
 
     def _grade(self, spec: TableSpec, outcome: SyncOutcome) -> tuple[str | None, str | None]:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import merge
+from tidemark.session import configure
 from tidemark.sinks.ledger import Ledger, utc_now
 from tidemark.sources.files import child_names
 from tidemark.sources.tables import MissingTable
@@ -32,7 +33,7 @@ class LakeTargets:
     def __init__(
         self, spark: SparkSession, root: str, ledger: Ledger, n_buckets: int = 256
     ) -> None:
-        self.spark, self.root, self.ledger = spark, root.rstrip("/"), ledger
+        self.spark, self.root, self.ledger = configure(spark), root.rstrip("/"), ledger
         self.n_buckets = n_buckets
 
     # reading

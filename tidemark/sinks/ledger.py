@@ -37,13 +37,6 @@ SCHEMAS = {
     "buckets array<int>, keys array<string>, n_buckets int, schema_json string, "
     "committed_at timestamp, seq bigint, op string",
 }
-KEYS = {
-    "progress": "table_name",
-    "intents": "table_name",
-    "files": "file_key",
-    "runs": "run_id",
-    "commits": "commit_id",
-}
 
 
 @dataclass(frozen=True)
@@ -134,8 +127,11 @@ class Ledger:
         replacement has made void can be dropped.
         """
         self._start_epoch("files", self.files().withColumn("commit_id", F.lit(None).cast("string")))
-        for log in ("progress", "intents", "runs"):
-            self._start_epoch(log, latest(self.read(log), KEYS[log]))
+        ended = self.read("progress").select("run_id").where("run_id IS NOT NULL").distinct()
+        intents = latest(self.read("intents"), "table_name")
+        self._start_epoch("intents", intents.join(ended, "run_id", "left_anti"))
+        self._start_epoch("progress", self.progress())
+        self._start_epoch("runs", latest(self.read("runs"), "run_id"))
         commits = self.read("commits")
         start = commits.where("kind IN ('create', 'replace')").groupBy("table_name").agg(
             F.max("seq").alias("start")
@@ -146,12 +142,11 @@ class Ledger:
     # progress
 
     def progress(self) -> DataFrame:
-        """Live progress, one row per table."""
-        return latest(self.read("progress"), "table_name")
+        """Live progress, one row per table; full copies leave it alone."""
+        return latest(self.read("progress").where("op <> 'done'"), "table_name")
 
     def get_progress(self, table: str) -> Position | None:
-        log = self.read("progress").where(F.col("table_name") == table)
-        row = latest(log, "table_name").first()
+        row = self.progress().where(F.col("table_name") == table).first()
         return None if row is None else Position(row["watermark_value"], row["cursor_value"])
 
     def set_progress(self, table: str, position: Position, run_id: str | None = None) -> None:
@@ -165,6 +160,18 @@ class Ledger:
             run_id=run_id,
         )
 
+    def finish(self, table: str, intent: Intent) -> None:
+        """Mark an intent as done and save where it ended, in one row."""
+        self.append_row(
+            "progress",
+            table_name=table,
+            watermark_value=intent.hi.watermark if intent.hi else None,
+            cursor_value=intent.hi.cursor if intent.hi else None,
+            updated_at=utc_now(),
+            op="set" if intent.hi else "done",
+            run_id=intent.run_id,
+        )
+
     def _clear(self, names: DataFrame) -> None:
         gone = names.select("table_name", F.lit("clear").alias("op"))
         self.append("progress", gone.withColumn("updated_at", F.lit(utc_now())))
@@ -202,6 +209,9 @@ class Ledger:
         row = latest(log, "table_name").where("op = 'intent'").first()
         if row is None:
             return None
+        ends = self.read("progress").where(F.col("run_id") == row["run_id"])
+        if not ends.isEmpty():
+            return None
         lo, hi = (
             Position(row[f"{end}_watermark"], row[f"{end}_cursor"])
             if row[f"{end}_watermark"] is not None
@@ -223,9 +233,6 @@ class Ledger:
             op="intent",
         )
 
-    def finish_intent(self, table: str, run_id: str) -> None:
-        self.append_row("intents", table_name=table, run_id=run_id, op="commit")
-
     # files
 
     def files(self) -> DataFrame:
