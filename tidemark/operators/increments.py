@@ -69,7 +69,7 @@ def position_fits(df: DataFrame, spec: TableSpec, saved: Position) -> bool:
             field.dataType if field else None,
             field.metadata.get("src_type") if field else None,
         )
-    one = df.sparkSession.range(1).select(flags.alias("fits"))
+    one = df.sparkSession.range(0, 1, 1, 1).select(flags.alias("fits"))
     return bool(one.first()["fits"])
 
 

@@ -249,7 +249,7 @@ def sync_plan(
             seen = F.count(F.lit(1) if spec.watermark is None else F.col(f"`{spec.watermark}`"))
             plans.append(df.agg(seen.alias("source_rows")).select(*columns, "source_rows"))
         else:
-            plans.append(spark.range(1).select(*columns))
+            plans.append(spark.range(0, 1, 1, 1).select(*columns))
     out = plans[0]
     for plan in plans[1:]:
         out = out.unionByName(plan)

@@ -84,7 +84,14 @@ class Ledger:
         return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
     def next_seq(self, log: str) -> int:
-        return int(self.read(log).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]) + 1
+        # A log is small metadata: one task reads its one column, without a shuffle.
+        seqs = self.read(log).select("seq").coalesce(1)
+        return int(seqs.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]) + 1
+
+    def _last(self, log: str, table: str, where: str = "true"):
+        """Last row about a table, or None."""
+        rows = self.read(log).where(F.col("table_name") == table).where(where)
+        return rows.orderBy(F.desc("seq")).first()
 
     def append(self, log: str, rows: DataFrame, *watched: Column) -> dict:
         """Add rows; the sequence number is set here, one per append.
@@ -114,7 +121,7 @@ class Ledger:
         schema = T._parse_datatype_string(SCHEMAS[log])
         fields = [f for f in schema.fields if f.name in values]
         columns = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in fields]
-        self.append(log, self.spark.range(1).select(*columns))
+        self.append(log, self.spark.range(0, 1, 1, 1).select(*columns))
 
     def _start_epoch(self, log: str, rows: DataFrame) -> None:
         epoch = max(self._epochs(log), default=0) + 1
@@ -146,8 +153,10 @@ class Ledger:
         return latest(self.read("progress").where("op <> 'done'"), "table_name")
 
     def get_progress(self, table: str) -> Position | None:
-        row = self.progress().where(F.col("table_name") == table).first()
-        return None if row is None else Position(row["watermark_value"], row["cursor_value"])
+        row = self._last("progress", table, "op <> 'done'")
+        if row is None or row["op"] == "clear":
+            return None
+        return Position(row["watermark_value"], row["cursor_value"])
 
     def set_progress(self, table: str, position: Position, run_id: str | None = None) -> None:
         self.append_row(
@@ -205,9 +214,8 @@ class Ledger:
 
     def pending_intent(self, table: str) -> Intent | None:
         """The last intent of a table if its run did not finish."""
-        log = self.read("intents").where(F.col("table_name") == table)
-        row = latest(log, "table_name").where("op = 'intent'").first()
-        if row is None:
+        row = self._last("intents", table)
+        if row is None or row["op"] != "intent":
             return None
         ends = self.read("progress").where(F.col("run_id") == row["run_id"])
         if not ends.isEmpty():
