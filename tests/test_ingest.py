@@ -106,11 +106,12 @@ def test_batches_of_files_cover_all(place):
 
 
 def test_upsert_follows_file_order_across_column_sets(place):
+    place.file("users/a odd+%41.parquet", [(1, "first"), (1, "a")], "id int, name string")
     place.file("users/a.parquet", [(1, "a", "a@x"), (2, "b", "b@x")], "id int, name string, email string")
     place.file("users/b.parquet", [(1, None), (3, "c")])
     place.file("users/c.parquet", [(1, "last", "z@x")], "id int, name string, email string")
     done = place.ingest(write_mode="upsert").run()
-    assert (done.files, done.rows) == (3, 5)
+    assert (done.files, done.rows) == (4, 7)
     assert place.rows() == [(1, "last", "z@x"), (2, "b", "b@x"), (3, "c", None)]
     place.file("users/d.parquet", [(2, "B"), (2, "BB"), (None, "n")])
     place.ingest(write_mode="upsert").run()

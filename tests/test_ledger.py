@@ -97,7 +97,7 @@ def test_old_log_without_a_cursor_loads(spark, ledger):
 def test_half_written_epoch_is_ignored(spark, ledger):
     ledger.set_progress("t", Position("1"))
     spark.range(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
-        f"{ledger.root}/progress/epoch=1/snapshot"
+        f"{ledger.root}/progress/epoch=1/000000000009-snapshot"
     )
     assert ledger.get_progress("t") == Position("1")
 

@@ -17,10 +17,12 @@ from tidemark.operators.routing import route_files
 from tidemark.sinks.lake import LakeTargets
 from tidemark.sinks.ledger import Ledger
 from tidemark.sources import files as sources
-from tidemark.sources.files import FILE_KEY, ROW_ORDER
+from tidemark.sources.files import FILE_PATH, ROW_ORDER
 from tidemark.sources.tables import MissingTable
 from tidemark.specs import IngestRoute, IngestSpec, SpecError
 
+FILE_RANK = "_file_rank"
+
 
 @dataclass(frozen=True)
 class IngestOutcome:
@@ -80,30 +82,39 @@ class Ingest:
     def _scans(self, chunk: Sequence) -> list[DataFrame]:
         """The files of a chunk as one scan per column set, in file order."""
         paths = [r["path"] for r in chunk]
-        fmt, base = self.spec.file_format, sources.qualify(self.spark, self.spec.input.uri)
+        fmt = self.spec.file_format
         keep_order = self.spec.write_mode == "upsert"
         scans = []
         for group in sources.group_by_columns(self.spark, paths, fmt, keep_order):
             scan = sources.read_files(self.spark, group, fmt)
-            scans.append(sources.with_row_order(scan, fmt, base))
+            scans.append(sources.with_row_order(scan, fmt))
         return scans
 
+    def _ranked(self, batch: DataFrame, chunk: Sequence) -> DataFrame:
+        """Replace the file URI by the file's place in key order.
+
+        The chunk bounds what is broadcast. A number per row instead of a path
+        keeps the shuffle that follows small.
+        """
+        places = self.spark.createDataFrame(
+            [(r["uri"], i) for i, r in enumerate(chunk)], f"{FILE_PATH} string, {FILE_RANK} int"
+        )
+        return batch.join(F.broadcast(places), FILE_PATH, "left").drop(FILE_PATH)
+
     def _typed(self, scan: DataFrame, name: str) -> DataFrame:
-        return conform_keeping(scan, self._schemas[name], (FILE_KEY, ROW_ORDER))
+        return conform_keeping(scan, self._schemas[name], (FILE_PATH, ROW_ORDER))
 
     def _counts(self, scans: Sequence[DataFrame], table: str, chunk: Sequence, commit_id: str):
         """Ledger rows of a chunk; files without rows get none."""
         counted = None
         for scan in scans:
-            part = scan.groupBy(F.col(FILE_KEY).alias("file_key")).agg(
-                F.count(F.lit(1)).alias("rows_ingested")
-            )
+            part = sources.count_by_path(scan)
             counted = part if counted is None else counted.unionByName(part)
         known = self.spark.createDataFrame(
-            [(r["file_key"], r["modified_at"]) for r in chunk],
-            "file_key string, modified_at timestamp",
+            [(r["uri"], r["file_key"], r["modified_at"]) for r in chunk],
+            f"{FILE_PATH} string, file_key string, modified_at timestamp",
         )
-        return counted.join(F.broadcast(known), "file_key").select(
+        return counted.join(F.broadcast(known), FILE_PATH).select(
             "file_key",
             F.lit(table).alias("target_table"),
             "rows_ingested",
@@ -127,7 +138,7 @@ class Ingest:
         if not self.targets.exists(name):
             if route is None or not route.create_if_missing:
                 raise MissingTable(f"target table {name} does not exist")
-            data = scan.drop(FILE_KEY, ROW_ORDER)
+            data = scan.drop(FILE_PATH, ROW_ORDER)
             self.targets.create(name, for_target(data).schema, route.key_columns)
         self._schemas[name] = self.targets.schema(name)
 
@@ -154,10 +165,10 @@ class Ingest:
             if done["files"] == 0:
                 continue
             if self.spec.write_mode == "insert":
-                self.targets.insert(name, batch.drop(FILE_KEY, ROW_ORDER), commit_id)
+                self.targets.insert(name, batch.drop(FILE_PATH, ROW_ORDER), commit_id)
             else:
                 self.targets.upsert(
-                    name, batch, route.key_columns, (FILE_KEY, ROW_ORDER),
+                    name, self._ranked(batch, chunk), route.key_columns, (FILE_RANK, ROW_ORDER),
                     self.spec.on_duplicate, commit_id,
                 )
             n_files, n_rows = n_files + done["files"], n_rows + done["rows"]
@@ -180,9 +191,10 @@ class Ingest:
             n_files, n_rows = n_files + done["files"], n_rows + done["rows"]
             if self.spec.truncate == "per_file":
                 folders = []
-                scans = [s.where(F.col(FILE_KEY) == done["last"]) for s in scans]
+                uris = [r["uri"] for r in chunk if r["file_key"] == done["last"]]
+                scans = [s.where(F.col(FILE_PATH).isin(uris)) for s in scans]
             for scan in scans:
-                batch = self._typed(scan, name).drop(FILE_KEY, ROW_ORDER)
+                batch = self._typed(scan, name).drop(FILE_PATH, ROW_ORDER)
                 folders.append(self.targets.stage(name, batch))
         if n_files:
             self.targets.replace(name, folders, commit_id)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.paths import first_component
+from tidemark.functions.paths import file_key, first_component
 from tidemark.operators import history, merge
 from tidemark.operators.routing import route_files as route
 from tidemark.plans.ingest import Ingest
@@ -17,8 +17,8 @@ from tidemark.session import scratch_dir
 from tidemark.sinks.lake import LakeTargets
 from tidemark.sinks.ledger import Ledger
 from tidemark.sources.files import discover_files as discover
-from tidemark.sources.files import key_of_file, qualify
-from tidemark.sources.files import read_files
+from tidemark.sources.files import qualify, read_files
+from tidemark.sources.files import rows_per_file as count_rows
 from tidemark.specs import IngestRoute, IngestSpec, Location
 from tidemark.streaming.file_ingest import start_ingest
 
@@ -84,12 +84,11 @@ def ingest_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rows_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count of every supplied table file (or folder of files)."""
     base = qualify(spark, sf_dir)
-    keys = [
-        table(spark, sf_dir, t).select(first_component(key_of_file(base)).alias("file_key"))
-        for t in TABLES
-    ]
-    every = reduce(DataFrame.unionByName, keys)
-    return every.groupBy("file_key").agg(F.count(F.lit(1)).alias("rows_ingested"))
+    counts = [count_rows(table(spark, sf_dir, t), base) for t in TABLES]
+    every = reduce(DataFrame.unionByName, counts)
+    return every.groupBy(first_component(F.col("file_key")).alias("file_key")).agg(
+        F.sum("rows_ingested").alias("rows_ingested")
+    )
 
 
 def _write_documents(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -114,12 +113,14 @@ def read_discovered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file scan with keys, reduced to rows per folder."""
     root = _write_documents(spark, sf_dir, "scan")
     base = qualify(spark, f"{root}/in")
-    rows = read_files(spark, [base], "parquet").select(
-        F.regexp_extract(key_of_file(base), "^(.*)/[^/]*$", 1).alias("folder"), "n_chars"
-    )
-    return rows.groupBy("folder").agg(
+    rows = read_files(spark, [base], "parquet")
+    per_file = rows.groupBy(F.col("_metadata.file_path").alias("uri")).agg(
         F.count(F.lit(1)).alias("documents"), F.sum("n_chars").alias("chars")
     )
+    folder = F.regexp_extract(file_key(F.col("uri"), base), "^(.*)/[^/]*$", 1)
+    return per_file.groupBy(folder.alias("folder")).agg(
+        F.sum("documents").alias("documents"), F.sum("chars").alias("chars")
+    )
 
 
 def _run_ingest(spark: SparkSession, root: str, target: str, **spec) -> DataFrame:

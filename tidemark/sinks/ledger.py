@@ -1,7 +1,8 @@
 """The ledgers: append-only Parquet logs, read by latest row per key.
 
 Every append goes to a folder of its own, so appends of different tables never
-share a staging folder. A log lives in epochs; a reset or a compaction starts a
+share a staging folder; the folder is named by the append's sequence number, so
+the next number comes from a listing. A log lives in epochs; a reset or a compaction starts a
 new one, and the highest finished epoch is the current one. One process at a
 time may write about a given table.
 """
@@ -12,6 +13,7 @@ import threading
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +41,14 @@ SCHEMAS = {
 }
 
 
+SNAPSHOT = "snapshot"
+
+
+@cache
+def _schema(log: str) -> T.StructType:
+    return T._parse_datatype_string(SCHEMAS[log])
+
+
 @dataclass(frozen=True)
 class Intent:
     """A range that a run has set out to write."""
@@ -70,23 +80,25 @@ class Ledger:
     def _current_epoch(self, log: str) -> int:
         """Highest epoch whose opening snapshot is complete; 0 needs none."""
         for epoch in reversed(self._epochs(log)):
-            path = f"{self._epoch_path(log, epoch)}/snapshot/_SUCCESS"
-            if epoch == 0 or path_exists(self.spark, path):
+            path = self._epoch_path(log, epoch)
+            done = [n for n in child_names(self.spark, path) if n.endswith(SNAPSHOT)]
+            if epoch == 0 or any(path_exists(self.spark, f"{path}/{n}/_SUCCESS") for n in done):
                 return epoch
         return 0
 
     def read(self, log: str) -> DataFrame:
         """All rows of the current epoch of a log."""
-        schema = T._parse_datatype_string(SCHEMAS[log])
+        schema = _schema(log)
         path = self._epoch_path(log, self._current_epoch(log))
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
     def next_seq(self, log: str) -> int:
-        # A log is small metadata: one task reads its one column, without a shuffle.
-        seqs = self.read(log).select("seq").coalesce(1)
-        return int(seqs.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]) + 1
+        """One more than any append of the current epoch, a failed one included."""
+        names = child_names(self.spark, self._epoch_path(log, self._current_epoch(log)))
+        numbers = [n.split("-")[0] for n in names]
+        return 1 + max((int(n) for n in numbers if n.isdigit()), default=0)
 
     def _last(self, log: str, table: str, where: str = "true"):
         """Last row about a table, or None."""
@@ -101,7 +113,7 @@ class Ledger:
         with self._lock:
             seq = self.next_seq(log)
             path = self._epoch_path(log, self._current_epoch(log))
-            schema = T._parse_datatype_string(SCHEMAS[log])
+            schema = _schema(log)
             out = rows.withColumn("seq", F.lit(seq)).select(
                 *[
                     (F.col(f.name) if f.name in (*rows.columns, "seq") else F.lit(None))
@@ -114,18 +126,18 @@ class Ledger:
             if watched:
                 out = out.observe(seen, *watched)
             # One small file per append; batches of files are bounded upstream.
-            out.coalesce(1).write.parquet(f"{path}/append-{uuid.uuid4().hex}")
+            out.coalesce(1).write.parquet(f"{path}/{seq:012d}-{uuid.uuid4().hex}")
             return seen.get if watched else {}
 
     def append_row(self, log: str, **values: object) -> None:
-        schema = T._parse_datatype_string(SCHEMAS[log])
+        schema = _schema(log)
         fields = [f for f in schema.fields if f.name in values]
         columns = [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in fields]
         self.append(log, self.spark.range(0, 1, 1, 1).select(*columns))
 
     def _start_epoch(self, log: str, rows: DataFrame) -> None:
-        epoch = max(self._epochs(log), default=0) + 1
-        rows.write.parquet(f"{self._epoch_path(log, epoch)}/snapshot")
+        epoch, seq = max(self._epochs(log), default=0) + 1, self.next_seq(log)
+        rows.write.parquet(f"{self._epoch_path(log, epoch)}/{seq:012d}-{SNAPSHOT}")
 
     def compact(self) -> None:
         """Rewrite all logs to what still counts, in new epochs; no load may run beside.
@@ -207,8 +219,7 @@ class Ledger:
     def reset(self) -> None:
         """Forget progress and loaded files both, ahead of a run."""
         for log in ("progress", "intents", "files"):
-            schema = T._parse_datatype_string(SCHEMAS[log])
-            self._start_epoch(log, self.spark.createDataFrame([], schema))
+            self._start_epoch(log, self.spark.createDataFrame([], _schema(log)))
 
     # intents
 

@@ -13,13 +13,14 @@ from pyspark.sql import types as T
 from tidemark.functions.paths import file_key, glob_to_regex
 from tidemark.specs import Location, SpecError
 
-FILE_KEY = "_file_key"
+FILE_PATH = "_file_path"
 ROW_ORDER = "_row_order"
 
 LISTING_SCHEMA = T.StructType(
     [
         T.StructField("file_key", T.StringType(), False),
         T.StructField("path", T.StringType(), False),
+        T.StructField("uri", T.StringType(), False),
         T.StructField("length", T.LongType(), False),
         T.StructField("modified_at", T.TimestampType(), False),
     ]
@@ -93,6 +94,7 @@ def discover_files(
         .select(
             key.alias("file_key"),
             "path",
+            F.col("_metadata.file_path").alias("uri"),
             F.col("length"),
             F.col("modificationTime").alias("modified_at"),
         )
@@ -120,8 +122,8 @@ def read_files(
     raise SpecError(f"unknown file format {file_format!r}")
 
 
-def with_row_order(df: DataFrame, file_format: str, base: str) -> DataFrame:
-    """Add the file key and a column that orders the rows of one file.
+def with_row_order(df: DataFrame, file_format: str) -> DataFrame:
+    """Add the file's URI and a column that orders the rows of one file.
 
     Must sit directly on the scan. Parquet gives a row index; CSV does not, so
     its rows are ordered by block start and a generated id.
@@ -135,11 +137,7 @@ def with_row_order(df: DataFrame, file_format: str, base: str) -> DataFrame:
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         )
-    return df.select("*", key_of_file(base).alias(FILE_KEY), order.alias(ROW_ORDER))
-
-
-def key_of_file(base: str) -> Column:
-    return file_key(F.col("_metadata.file_path"), base)
+    return df.select("*", F.col("_metadata.file_path").alias(FILE_PATH), order.alias(ROW_ORDER))
 
 
 def file_columns(
@@ -179,8 +177,10 @@ def group_by_columns(
 
 def rows_per_file(df: DataFrame, base: str) -> DataFrame:
     """Row count of every file behind a scan; no data column is read."""
-    return (
-        df.select(key_of_file(base).alias("file_key"))
-        .groupBy("file_key")
-        .agg(F.count(F.lit(1)).alias("rows_ingested"))
-    )
+    counts = count_by_path(df.select(F.col("_metadata.file_path").alias(FILE_PATH)))
+    return counts.select(file_key(F.col(FILE_PATH), base).alias("file_key"), "rows_ingested")
+
+
+def count_by_path(df: DataFrame) -> DataFrame:
+    """Row count per file URI; keys are made from the few results, not from every row."""
+    return df.groupBy(FILE_PATH).agg(F.count(F.lit(1)).alias("rows_ingested"))

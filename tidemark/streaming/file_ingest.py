@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sinks.lake import LakeTargets
-from tidemark.sources.files import FILE_KEY, ROW_ORDER, key_of_file, qualify
+from tidemark.sources.files import FILE_PATH, ROW_ORDER
 from tidemark.specs import IngestSpec, SpecError
 
 BLOCK = "_block"
@@ -22,7 +22,7 @@ BLOCK = "_block"
 def read_file_stream(
     spark: SparkSession, spec: IngestSpec, schema: T.StructType, files_per_trigger: int = 1000
 ) -> DataFrame:
-    """New files of a folder as a stream, with file key and row order."""
+    """New files of a folder as a stream, with file URI and row order."""
     reader = (
         spark.readStream.schema(schema)
         .option("recursiveFileLookup", "true")
@@ -35,7 +35,7 @@ def read_file_stream(
     block = "row_index" if spec.file_format == "parquet" else "file_block_start"
     return stream.select(
         "*",
-        key_of_file(qualify(spark, spec.input.uri)).alias(FILE_KEY),
+        F.col("_metadata.file_path").alias(FILE_PATH),
         F.col(f"_metadata.{block}").alias(BLOCK),
     )
 
@@ -71,10 +71,10 @@ def start_ingest(
         if targets.ledger.is_committed(commit_id):
             return
         if spec.write_mode == "insert":
-            targets.insert(table, batch.drop(FILE_KEY, BLOCK), commit_id)
+            targets.insert(table, batch.drop(FILE_PATH, BLOCK), commit_id)
         else:
             rows = _with_order(batch, spec.file_format)
-            targets.upsert(table, rows, keys, (FILE_KEY, ROW_ORDER), spec.on_duplicate, commit_id)
+            targets.upsert(table, rows, keys, (FILE_PATH, ROW_ORDER), spec.on_duplicate, commit_id)
 
     stream = read_file_stream(spark, spec, targets.schema(table), files_per_trigger)
     return (
