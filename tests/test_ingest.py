@@ -106,7 +106,7 @@ def test_batches_of_files_cover_all(place):
 
 
 def test_upsert_follows_file_order_across_column_sets(place):
-    place.file("users/a odd+%41.parquet", [(1, "first"), (1, "a")], "id int, name string")
+    place.file("users/aa odd+%41.parquet", [(1, "first"), (1, "a")], "id int, name string")
     place.file("users/a.parquet", [(1, "a", "a@x"), (2, "b", "b@x")], "id int, name string, email string")
     place.file("users/b.parquet", [(1, None), (3, "c")])
     place.file("users/c.parquet", [(1, "last", "z@x")], "id int, name string, email string")
