@@ -115,41 +115,52 @@ def upsert(
     included; columns the batch lacks keep the target's value. A batch of key
     columns alone changes nothing on a known key.
     """
-    rows = one_per_key(batch, keys, order, on_duplicate)
+    _require_keys(keys, batch)
+    whole, keyless = _split_null_keys(batch, keys)
+    rows = one_per_key(whole, keys, order, on_duplicate)
+    if keyless is not None:
+        keyless = keyless.select(*_cols(rows.columns))
+    return _merge(target, rows, keyless, keys)
+
+
+def upsert_unique(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``upsert`` of a batch that holds every key once, NULL keys aside."""
+    _require_keys(keys, rows)
+    return _merge(target, *_split_null_keys(rows, keys), keys)
+
+
+def _merge(
+    target: DataFrame, rows: DataFrame, keyless_rows: DataFrame | None, keys: Sequence[str]
+) -> DataFrame:
     unknown = [c for c in rows.columns if c not in target.columns]
     if unknown:
         raise SpecError(f"columns not in the target: {', '.join(unknown)}")
+    # Rows with a NULL key match nothing; left in the joins they would all hash
+    # to one partition, so on both sides they go around them.
+    keyed, keyless = _split_null_keys(target, keys)
     updated = [c for c in rows.columns if c not in keys]
     if not updated:
-        return _upsert_keys_only(target, rows, keys)
-    # Target rows with a NULL key match nothing; left in the join they would all
-    # hash to one partition, so they go around it.
-    keyed, keyless = _split_null_keys(target, keys)
-    if set(rows.columns) == set(target.columns):
+        merged = insert(target, _new_rows(keyed, rows, keys))
+        keyless = None
+    elif set(rows.columns) == set(target.columns):
         kept = keyed.join(rows.select(*_cols(keys)), list(keys), "left_anti")
         merged = kept.select(*_cols(target.columns)).unionByName(rows)
     else:
         merged = _upsert_some_columns(keyed, rows, keys, updated)
-    return merged if keyless is None else merged.unionByName(keyless)
-
-
-def _upsert_keys_only(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return target.unionByName(_new_rows(target, rows, keys), allowMissingColumns=True)
+    if keyless is not None:
+        merged = merged.unionByName(keyless)
+    return merged if keyless_rows is None else insert(merged, keyless_rows)
 
 
 def _new_rows(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    keyed, keyless = _split_null_keys(rows, keys)
-    fresh = keyed.join(_known_keys(target, keyed, keys), list(keys), "left_anti")
-    return fresh if keyless is None else fresh.unionByName(keyless)
-
-
-def _known_keys(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys of the batch that the target holds.
+    """Rows of the batch whose key the target lacks.
 
     Only key columns of the target are read, and a small batch is broadcast to
     them, so the target is not shuffled.
     """
-    return target.select(*_cols(keys)).join(rows.select(*_cols(keys)), list(keys), "left_semi")
+    key_columns = _cols(keys)
+    known = target.select(*key_columns).join(rows.select(*key_columns), list(keys), "left_semi")
+    return rows.join(known, list(keys), "left_anti")
 
 
 def _upsert_some_columns(
@@ -170,8 +181,7 @@ def _upsert_some_columns(
         ).alias(c)
         for c in target.columns
     ]
-    fresh = _new_rows(target, rows, keys)
-    return joined.select(*columns).unionByName(fresh, allowMissingColumns=True)
+    return insert(joined.select(*columns), _new_rows(target, rows, keys))
 
 
 def truncate_insert(

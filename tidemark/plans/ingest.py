@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from tidemark.functions.contracts import conform, for_target
 from tidemark.operators import history, merge
 from tidemark.operators.routing import route_files
+from tidemark.session import scratch_dir
 from tidemark.sinks.lake import LakeTargets
 from tidemark.sinks.ledger import Ledger
 from tidemark.sources import files as sources
@@ -56,6 +57,7 @@ class Ingest:
     ) -> None:
         self.spark, self.spec, self.targets, self.ledger = spark, spec, targets, ledger
         self._schemas: dict[str, T.StructType] = {}
+        self._scratch: list[str] = []
 
     def plan(self) -> DataFrame:
         """Dry run: what would be loaded where."""
@@ -74,6 +76,8 @@ class Ingest:
             tables.append(table)
             load = self._replace if self.spec.write_mode == "truncate_insert" else self._merge
             n_files, n_rows = load(table, group)
+            while self._scratch:
+                sources.delete_folder(self.spark, self._scratch.pop())
             total_files, total_rows = total_files + n_files, total_rows + n_rows
         return IngestOutcome(total_files, total_rows, tuple(tables))
 
@@ -86,10 +90,17 @@ class Ingest:
         keep_order = self.spec.write_mode == "upsert"
         scans = []
         for group in sources.group_by_columns(self.spark, paths, fmt, keep_order):
-            scan = sources.read_files(self.spark, group, fmt)
-            scans.append(sources.with_row_order(scan, fmt))
+            scan = sources.with_row_order(sources.read_files(self.spark, group, fmt), fmt)
+            scans.append(scan if fmt == "parquet" else self._as_parquet(scan))
         return scans
 
+    def _as_parquet(self, scan: DataFrame) -> DataFrame:
+        """Text parsed once: counting and merging then read columns, not lines."""
+        path = scratch_dir(self.spark, "ingest-text")
+        self._scratch.append(path)
+        scan.write.parquet(path)
+        return self.spark.read.schema(scan.schema).parquet(path)
+
     def _ranked(self, batch: DataFrame, chunk: Sequence) -> DataFrame:
         """Replace the file URI by the file's place in key order.
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tidemark.operators import merge
 from tidemark.session import configure
 from tidemark.sinks.ledger import Ledger, utc_now
-from tidemark.sources.files import child_names
+from tidemark.sources.files import child_names, delete_folder
 from tidemark.sources.tables import MissingTable
 
 BUCKET = "_bucket"
@@ -83,7 +83,7 @@ class LakeTargets:
     def _stage(self, table: str, df: DataFrame, keys: Sequence[str], n_buckets: int) -> str:
         """Write rows to a folder no reader knows yet."""
         folder = f"data-{uuid.uuid4().hex}"
-        path = f"{self.root}/{table}/{folder}"
+        path = self._path(table, folder)
         if n_buckets:
             # Rebalancing lets Spark split a bucket that is too large and join
             # small ones, so files stay near one size.
@@ -93,6 +93,9 @@ class LakeTargets:
             df.write.parquet(path)
         return folder
 
+    def _path(self, table: str, folder: str) -> str:
+        return f"{self.root}/{table}/{folder}"
+
     def _commit(self, table: str, kind: str, commit_id: str | None = None, **values) -> None:
         self.ledger.append_row(
             "commits",
@@ -156,19 +159,28 @@ class LakeTargets:
         on_duplicate: str = "last",
         commit_id: str | None = None,
     ) -> None:
+        """Merge a batch; it is reduced to one row per key and written once first.
+
+        The merge reads the batch several times. From files it is read cheaply,
+        its size is known when Spark picks the join, and its folders say which
+        buckets of the target have to be read and written again.
+        """
         commits = self._state(table)
         head = commits[0]
-        if head["n_buckets"] and list(head["keys"]) == list(keys):
-            # At most n_buckets numbers reach the driver.
-            bucket = bucket_of(keys, head["n_buckets"])
-            touched = sorted(r[0] for r in batch.select(bucket.alias("b")).distinct().collect())
-            rows = merge.upsert(self._scan(commits, touched), batch, keys, order, on_duplicate)
-            folder = self._stage(table, rows, keys, head["n_buckets"])
+        bucketed = head["n_buckets"] and list(head["keys"]) == list(keys)
+        rows = merge.one_per_key(batch, keys, order, on_duplicate)
+        staged = self._stage(table, rows, keys, head["n_buckets"] if bucketed else 0)
+        staged_path = self._path(table, staged)
+        touched = _buckets_in(self.spark, staged_path) if bucketed else None
+        reader = self.spark.read.schema(_nullable(rows.schema))
+        rows = reader.option("recursiveFileLookup", "true").parquet(staged_path)
+        merged = merge.upsert_unique(self._scan(commits, touched), rows, keys)
+        folder = self._stage(table, merged, head["keys"], head["n_buckets"])
+        if bucketed:
             self._commit(table, "rewrite", commit_id, folders=[folder], buckets=touched)
         else:
-            rows = merge.upsert(self._scan(commits), batch, keys, order, on_duplicate)
-            folder = self._stage(table, rows, head["keys"], head["n_buckets"])
             self.replace(table, [folder], commit_id)
+        delete_folder(self.spark, staged_path)
 
 
 def _json(text: str) -> dict:

@@ -47,6 +47,11 @@ def qualify(spark: SparkSession, path: str) -> str:
     return jvm_path.getFileSystem(conf).makeQualified(jvm_path).toString()
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def delete_except(spark: SparkSession, pattern: str, keep: str) -> None:
     """Delete the folders a path pattern names, but for one."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
