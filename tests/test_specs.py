@@ -75,10 +75,10 @@ def test_modes():
 @pytest.mark.parametrize(
     "spec, message",
     [
-        (TableSpec("t", incremental_column="u"), "is required"),
-        (TableSpec("t", incremental_column="u", incremental_tiebreaker_column="u"), "cannot equal"),
-        (TableSpec("t", incremental_column="x", incremental_tiebreaker_column="id"), "'x' is not in"),
-        (TableSpec("t", incremental_column="u", incremental_tiebreaker_column="x"), "'x' is not in"),
+        (TableSpec("t", incremental_column="u"), "needs a tiebreaker"),
+        (TableSpec("t", incremental_column="u", incremental_tiebreaker_column="u"), "cannot be both"),
+        (TableSpec("t", incremental_column="x", incremental_tiebreaker_column="id"), "'x' is not among"),
+        (TableSpec("t", incremental_column="u", incremental_tiebreaker_column="x"), "'x' is not among"),
     ],
 )
 def test_incremental_checks(spec, message):

@@ -83,9 +83,9 @@ def test_failures_do_not_stop_other_tables(place):
 
 
 def test_bad_spec_fails(place):
-    with pytest.raises(SyncFailed, match="is required"):
+    with pytest.raises(SyncFailed, match="needs a tiebreaker"):
         place.sync(TableSpec("users", incremental_column="id")).run()
-    with pytest.raises(SpecError, match="not in selected columns"):
+    with pytest.raises(SpecError, match="not among the selected"):
         place.sync().sync_table(
             TableSpec("users", columns=("id",), incremental_column="updated_at",
                       incremental_tiebreaker_column="id")

@@ -51,8 +51,8 @@ def check_position(spec: TableSpec, saved: Position | None) -> None:
     """A saved watermark without a cursor cannot resume in cursor mode."""
     if saved is not None and spec.cursor is not None and saved.cursor is None:
         raise SpecError(
-            f"state for table {spec.full_name} has watermark but no cursor; "
-            "reset this table's state and run again"
+            f"saved progress of {spec.full_name} has watermark but no cursor; "
+            "clear it to start over"
         )
 
 

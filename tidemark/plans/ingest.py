@@ -146,12 +146,13 @@ class Ingest:
         name = self._name(table)
         if name in self._schemas:
             return
-        if not self.targets.exists(name):
+        schema = self.targets.schema(name)
+        if schema is None:
             if route is None or not route.create_if_missing:
                 raise MissingTable(f"target table {name} does not exist")
-            data = scan.drop(FILE_PATH, ROW_ORDER)
-            self.targets.create(name, for_target(data).schema, route.key_columns)
-        self._schemas[name] = self.targets.schema(name)
+            schema = for_target(scan.drop(FILE_PATH, ROW_ORDER)).schema
+            self.targets.create(name, schema, route.key_columns)
+        self._schemas[name] = schema
 
     def _merge(self, table: str, rows: Iterator) -> tuple[int, int]:
         """Insert or upsert; every column set of a chunk is a commit of its own."""

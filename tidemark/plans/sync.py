@@ -30,7 +30,7 @@ class SyncFailed(RuntimeError):
     def __init__(self, failures: Sequence[tuple[str, BaseException]]) -> None:
         self.failures = list(failures)
         text = " | ".join(f"{name}: {error}" for name, error in failures)
-        super().__init__(f"{len(self.failures)} table(s) failed during sync: {text}")
+        super().__init__(f"sync failed for {len(self.failures)} table(s): {text}")
 
 
 @dataclass(frozen=True)
@@ -64,7 +64,7 @@ def open_table(source: Source, spec: TableSpec) -> DataFrame:
     df = project(source(spec), spec.columns)
     if not df.columns:
         raise MissingTable(
-            f"table {spec.full_name} has no visible columns (table missing or no privileges)"
+            f"{spec.full_name} has no visible columns: it is missing or may not be read"
         )
     return df
 

@@ -47,8 +47,10 @@ class LakeTargets:
             raise MissingTable(f"target table {table} does not exist")
         return commits
 
-    def schema(self, table: str) -> T.StructType:
-        return T.StructType.fromJson(_json(self._state(table)[0]["schema_json"]))
+    def schema(self, table: str) -> T.StructType | None:
+        """Schema of a table; None if there is no such table."""
+        commits = self.ledger.commits(table)
+        return T.StructType.fromJson(_json(commits[0]["schema_json"])) if commits else None
 
     def read(self, table: str, buckets: Sequence[int] | None = None) -> DataFrame:
         """Rows of the table, or of some of its buckets: one scan of live folders."""

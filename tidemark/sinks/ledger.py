@@ -330,7 +330,8 @@ class Ledger:
 
     def commits(self, table: str) -> list:
         """Commits of one target table in order, from its last replacement on."""
-        rows = self.read("commits").where(F.col("table_name") == table).orderBy("seq").collect()
+        found = self.read("commits").where(F.col("table_name") == table)
+        rows = sorted(found.collect(), key=lambda r: r["seq"])
         starts = [i for i, r in enumerate(rows) if r["kind"] in ("create", "replace")]
         return rows[starts[-1]:] if starts else []
 

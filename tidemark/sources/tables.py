@@ -46,7 +46,7 @@ def catalog_source(spark: SparkSession) -> Source:
         name = f"`{spec.schema}`.`{spec.name}`" if spec.schema else f"`{spec.name}`"
         if not spark.catalog.tableExists(name):
             raise MissingTable(
-                f"table {spec.full_name} has no visible columns (table missing or no privileges)"
+                f"{spec.full_name} has no visible columns: it is missing or may not be read"
             )
         return spark.table(name)
 

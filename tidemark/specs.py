@@ -19,6 +19,14 @@ WRITE_MODES = ("insert", "upsert", "truncate_insert")
 OUTPUT_FORMATS = ("parquet", "iceberg")
 NULL_KEY_POLICIES = ("error", "skip")
 
+# How a dry run names the ways to sync a table.
+MODES = {
+    "full": "full",
+    "cursor": "incremental (cursor)",
+    "unique": "incremental (unique watermark)",
+    "invalid": "incremental (invalid config: missing tiebreaker)",
+}
+
 
 class SpecError(ValueError):
     """A spec that cannot be run as written."""
@@ -72,12 +80,10 @@ class TableSpec:
     @property
     def mode(self) -> str:
         if self.watermark is None:
-            return "full"
+            return MODES["full"]
         if self.cursor is not None:
-            return "incremental (cursor)"
-        if self.incremental_column_is_unique:
-            return "incremental (unique watermark)"
-        return "incremental (invalid config: missing tiebreaker)"
+            return MODES["cursor"]
+        return MODES["unique" if self.incremental_column_is_unique else "invalid"]
 
 
 def check_incremental(spec: TableSpec, columns: Sequence[str]) -> None:
@@ -87,16 +93,16 @@ def check_incremental(spec: TableSpec, columns: Sequence[str]) -> None:
         return
     if cur is None and not spec.incremental_column_is_unique:
         raise SpecError(
-            f"incremental_tiebreaker_column is required for incremental table {name} "
-            "unless incremental_column_is_unique is set"
+            f"{name}: values of {wm!r} may repeat, so the table needs a tiebreaker column "
+            "or the column must be marked unique"
         )
     if cur == wm:
         raise SpecError(
-            f"incremental_tiebreaker_column {cur!r} cannot equal incremental_column for table {name}"
+            f"{name}: {cur!r} cannot be both the incremental column and its tiebreaker"
         )
     for what, column in (("incremental_column", wm), ("incremental_tiebreaker_column", cur)):
         if column is not None and column not in columns:
-            raise SpecError(f"{what} {column!r} is not in selected columns for table {name}")
+            raise SpecError(f"{name}: {what} {column!r} is not among the selected columns")
 
 
 @dataclass(frozen=True)
@@ -158,11 +164,11 @@ class SyncSpec:
             object.__setattr__(self, "tables", tuple(self.tables))
         object.__setattr__(self, "exclude", tuple(self.exclude))
         if self.format == "iceberg" and self.warehouse is None:
-            raise SpecError("'warehouse' is required when format is 'iceberg'")
+            raise SpecError("a lake table output needs a warehouse")
         if self.catalog == "glue" and self.glue_database is None:
-            raise SpecError("'glue_database' is required when the catalog is 'glue'")
+            raise SpecError("a glue catalog needs a glue_database")
         if self.format == "parquet" and self.output is None:
-            raise SpecError("'output' is required when format is 'parquet'")
+            raise SpecError("Parquet needs an output location")
         if self.batch_size is not None and self.batch_size < 1:
             raise SpecError("batch_size must be at least 1")
 
@@ -208,10 +214,7 @@ class IngestSpec:
         if self.write_mode == "upsert":
             for route in self.tables:
                 if not route.key_columns:
-                    raise SpecError(
-                        f"ingest table {route.target_table!r} requires 'key_columns' "
-                        "when write_mode is 'upsert'"
-                    )
+                    raise SpecError(f"upserts into {route.target_table!r} need key_columns")
 
 
 def parse_table_ref(ref: str) -> tuple[str | None, str]:
@@ -229,6 +232,6 @@ def select_table(ref: str, tables: Sequence[TableSpec]) -> TableSpec:
     if schema is None and len(found) > 1:
         schemas = ", ".join(t.lookup_schema for t in found)
         raise SpecError(
-            f"table {name!r} is ambiguous across schemas [{schemas}]; use a schema-qualified name"
+            f"{name!r} is ambiguous: there is one in each of {schemas}; write schema.name"
         )
     return found[-1] if found else TableSpec(name=name, schema=schema)
