@@ -181,6 +181,34 @@ def test_csv_files_with_different_headers(place):
     assert place.rows() == [(1, "alice"), (2, None), (3, "bob"), (4, None)]
 
 
+def test_empty_csv_files(place):
+    write_csv(place.inbox / "users/a.csv", "")
+    write_csv(place.inbox / "users/b.csv", "id,name\n")
+    for mode in ("insert", "truncate_insert"):
+        assert place.ingest(file_format="csv", write_mode=mode).run().files == 0
+    assert not place.targets.exists("public.users")
+    write_csv(place.inbox / "users/c.csv", "id,name\n1,a\n")
+    assert place.ingest(file_format="csv", write_mode="truncate_insert").run().files == 1
+    assert place.rows() == [(1, "a")]
+
+
+def test_column_sets_by_task_and_by_reader(spark, place, monkeypatch):
+    place.file("users/a.parquet", [(1, "a")])
+    place.file("users/b.parquet", [(1, "a")])
+    place.file("users/c.parquet", [(1,)], "id int")
+    here = Location(path=str(place.inbox))
+    found = files.discover_files(spark, here, "**/*.parquet")
+    for schemes in (files.TASK_SCHEMES, ()):
+        monkeypatch.setattr(files, "TASK_SCHEMES", schemes)
+        marked = files.with_column_sets(spark, found, "parquet", here).orderBy("file_key").collect()
+        groups = files.group_by_columns(spark, marked, "parquet")
+        assert [[r["file_key"][-9] for r in g] for g in groups] == [["a", "b"], ["c"]]
+    neighbours = files.group_by_columns(
+        spark, [marked[0], marked[2], marked[1]], "parquet", keep_order=True
+    )
+    assert [len(g) for g in neighbours] == [1, 1, 1]
+
+
 def test_csv_upsert_takes_the_last_line(place):
     lines = "".join(f"{i % 10},v{i}\n" for i in range(2000))
     write_csv(place.inbox / "users/a.csv", "id,name\n" + lines)

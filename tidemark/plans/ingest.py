@@ -68,7 +68,7 @@ class Ingest:
         return f"{self.spec.target_schema}.{table}"
 
     def run(self) -> IngestOutcome:
-        planned = self.plan().orderBy("target_table", "file_key")
+        planned = self._planned().orderBy("target_table", "file_key")
         total_files = total_rows = 0
         tables = []
         rows = planned.toLocalIterator()
@@ -76,21 +76,36 @@ class Ingest:
             tables.append(table)
             load = self._replace if self.spec.write_mode == "truncate_insert" else self._merge
             n_files, n_rows = load(table, group)
-            while self._scratch:
+            while len(self._scratch) > 1:
                 sources.delete_folder(self.spark, self._scratch.pop())
             total_files, total_rows = total_files + n_files, total_rows + n_rows
+        sources.delete_folder(self.spark, self._scratch.pop())
         return IngestOutcome(total_files, total_rows, tuple(tables))
 
+    def _planned(self) -> DataFrame:
+        """The plan with column sets, written down once.
+
+        Sorting samples its input first; from the written plan that does not
+        open every file a second time.
+        """
+        probed = sources.with_column_sets(
+            self.spark, self.plan(), self.spec.file_format, self.spec.input
+        )
+        path = scratch_dir(self.spark, "ingest-plan")
+        self._scratch.append(path)
+        probed.hint("rebalance").write.parquet(path)
+        return self.spark.read.schema(probed.schema).parquet(path)
+
     # reading
 
     def _scans(self, chunk: Sequence) -> list[DataFrame]:
         """The files of a chunk as one scan per column set, in file order."""
-        paths = [r["path"] for r in chunk]
         fmt = self.spec.file_format
         keep_order = self.spec.write_mode == "upsert"
         scans = []
-        for group in sources.group_by_columns(self.spark, paths, fmt, keep_order):
-            scan = sources.with_row_order(sources.read_files(self.spark, group, fmt), fmt)
+        for group in sources.group_by_columns(self.spark, chunk, fmt, keep_order):
+            paths = [r["path"] for r in group]
+            scan = sources.with_row_order(sources.read_files(self.spark, paths, fmt), fmt)
             scans.append(scan if fmt == "parquet" else self._as_parquet(scan))
         return scans
 
@@ -170,12 +185,12 @@ class Ingest:
         name = self._name(table)
         n_files = n_rows = 0
         for scan in self._scans(chunk):
-            self._ensure(table, route, scan)
-            batch = self._typed(scan, name)
             commit_id = uuid.uuid4().hex
             done = self._record([scan], table, chunk, commit_id)
             if done["files"] == 0:
                 continue
+            self._ensure(table, route, scan)
+            batch = self._typed(scan, name)
             if self.spec.write_mode == "insert":
                 self.targets.insert(name, batch.drop(FILE_PATH, ROW_ORDER), commit_id)
             else:
@@ -195,11 +210,11 @@ class Ingest:
         n_files = n_rows = 0
         folders: list[str] = []
         for chunk in _chunks(rows, self.spec.files_per_batch):
-            scans = self._scans(chunk)
-            self._ensure(table, self._route(chunk[0]), scans[0])
-            done = self._record(scans, table, chunk, commit_id)
+            scans = [s for s in self._scans(chunk) if len(s.columns) > 2]
+            done = self._record(scans, table, chunk, commit_id) if scans else {"files": 0}
             if done["files"] == 0:
                 continue
+            self._ensure(table, self._route(chunk[0]), scans[0])
             n_files, n_rows = n_files + done["files"], n_rows + done["rows"]
             if self.spec.truncate == "per_file":
                 folders = []

@@ -145,38 +145,97 @@ def with_row_order(df: DataFrame, file_format: str) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias(FILE_PATH), order.alias(ROW_ORDER))
 
 
-def file_columns(
-    spark: SparkSession, paths: Sequence[str], file_format: str, threads: int = 16
-) -> list[tuple]:
-    """Column set of each file, from its footer or header line alone."""
+# Path schemes whose files a task can open by itself.
+TASK_SCHEMES = ("file", "hdfs", "s3a")
 
-    def columns(path: str) -> tuple:
+
+def _opener(location: Location):
+    """How a Python task opens a file of a location."""
+    region, endpoint = location.region, location.endpoint
+
+    def open_path(path: str):
+        from pyarrow import fs
+
+        scheme, _, rest = path.partition(":")
+        if scheme == "file":
+            return fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+        if scheme == "s3a":
+            options = {"region": region, "endpoint_override": endpoint}
+            store = fs.S3FileSystem(**{k: v for k, v in options.items() if v})
+            return store.open_input_file(rest.lstrip("/"))
+        authority, _, key = rest.lstrip("/").partition("/")
+        store, _ = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+        return store.open_input_file("/" + key)
+
+    return open_path
+
+
+def with_column_sets(
+    spark: SparkSession, files: DataFrame, file_format: str, location: Location
+) -> DataFrame:
+    """Add a text that is the same for files with the same columns.
+
+    Tasks read one footer or header line per file. Where they cannot open the
+    files the text is NULL, and ``group_by_columns`` asks Spark for each schema.
+    """
+    scheme = qualify(spark, location.uri).partition(":")[0]
+    schema = T.StructType([*files.schema.fields, T.StructField("column_set", T.StringType())])
+    if scheme not in TASK_SCHEMES:
+        return files.withColumn("column_set", F.lit(None).cast("string"))
+    open_path = _opener(location)
+
+    def probe(frames):
+        import pyarrow.parquet as pq
+
+        for frame in frames:
+            texts = []
+            for path in frame["path"]:
+                with open_path(path) as source:
+                    if file_format == "parquet":
+                        fields = pq.read_schema(source)
+                        texts.append(repr([(f.name, str(f.type)) for f in fields]))
+                    else:
+                        texts.append(_first_line(source))
+            yield frame.assign(column_set=texts)
+
+    return files.mapInPandas(probe, schema)
+
+
+def _first_line(source) -> str:
+    text = b""
+    while b"\n" not in text and (more := source.read(4096)):
+        text += more
+    return text.split(b"\n")[0].decode("utf-8", "replace").strip()
+
+
+def _columns_by_reader(spark: SparkSession, rows: Sequence, file_format: str) -> list[str]:
+    def columns(row) -> str:
         if file_format == "parquet":
-            fields = spark.read.parquet(path).schema.fields
-            return tuple((f.name, f.dataType.simpleString()) for f in fields)
-        return tuple(
-            (name, "csv") for name in spark.read.option("header", "true").csv(path).columns
-        )
+            return spark.read.parquet(row["path"]).schema.simpleString()
+        return repr(spark.read.option("header", "true").csv(row["path"]).columns)
 
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        return list(pool.map(columns, paths))
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return list(pool.map(columns, rows))
 
 
 def group_by_columns(
-    spark: SparkSession, paths: Sequence[str], file_format: str, keep_order: bool = False
-) -> list[list[str]]:
-    """Split files into groups that share one column set, in first-seen order.
+    spark: SparkSession, files: Sequence, file_format: str, keep_order: bool = False
+) -> list[list]:
+    """Split one batch of files into groups of one column set, in first-seen order.
 
     With ``keep_order`` a group holds neighbours only, so that going through the
     groups goes through the files in their order.
     """
-    marked = list(zip(paths, file_columns(spark, paths, file_format)))
+    sets = [r["column_set"] for r in files]
+    if None in sets:
+        sets = _columns_by_reader(spark, files, file_format)
+    marked = list(zip(sets, files))
     if keep_order:
-        runs = itertools.groupby(marked, key=lambda m: m[1])
-        return [[path for path, _ in run] for _, run in runs]
-    groups: dict[tuple, list[str]] = {}
-    for path, columns in marked:
-        groups.setdefault(columns, []).append(path)
+        runs = itertools.groupby(marked, key=lambda m: m[0])
+        return [[row for _, row in run] for _, run in runs]
+    groups: dict[str, list] = {}
+    for columns, row in marked:
+        groups.setdefault(columns, []).append(row)
     return list(groups.values())
 
 
