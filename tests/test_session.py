@@ -1,0 +1,38 @@
+from types import SimpleNamespace
+
+from tidemark import session
+
+
+def test_settings_are_applied(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    session.configure(spark)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == "TIMESTAMP_MICROS"
+
+
+def test_scratch_folders_lie_below_the_shared_one(spark):
+    first, second = session.scratch_dir(spark, "x"), session.scratch_dir(spark, "x")
+    assert first != second
+    assert first.startswith(f"{session.checkpoint_root(spark)}/tidemark/x-")
+
+
+def stand_in(setting, launched=None, checkpoint_dir=None):
+    """Only what the lookup asks of a session."""
+    chosen = []
+    context = SimpleNamespace(
+        getConf=lambda: {session.CHECKPOINT_SETTING: launched},
+        getCheckpointDir=lambda: checkpoint_dir,
+        setCheckpointDir=chosen.append,
+    )
+    return SimpleNamespace(conf={session.CHECKPOINT_SETTING: setting}, sparkContext=context), chosen
+
+
+def test_the_clusters_setting_comes_first():
+    for given in (("/shared/", None, "/own"), (None, "/shared", "/own"), (None, None, "/shared")):
+        spark, chosen = stand_in(*given)
+        assert session.checkpoint_root(spark) == "/shared" and not chosen
+
+
+def test_a_temporary_folder_only_where_none_is_set():
+    spark, chosen = stand_in(None)
+    assert session.checkpoint_root(spark) == chosen[0]

@@ -1,7 +1,7 @@
 import pytest
 
 from tidemark.sinks import parquet, tables
-from tidemark.sources.tables import jdbc_options
+from tidemark.sources.tables import jdbc_catalog_settings, jdbc_options
 from tidemark.specs import SpecError, TableSpec
 
 
@@ -25,6 +25,14 @@ def test_jdbc_reader_options():
     assert "partitionColumn" not in jdbc_options("u", TableSpec("t"))
 
 
+def test_jdbc_catalog_settings():
+    settings = jdbc_catalog_settings("shop", "jdbc:postgresql://h/db", {"user": "u"})
+    assert settings["spark.sql.catalog.shop"].endswith("JDBCTableCatalog")
+    assert settings["spark.sql.catalog.shop.pushDownAggregate"] == "true"
+    assert settings["spark.sql.catalog.shop.pushDownLimit"] == "false"
+    assert settings["spark.sql.catalog.shop.user"] == "u"
+
+
 def test_jdbc_writer_options():
     options = tables.jdbc_write_options("jdbc:x", "public", "users", {"user": "u"}, 500, 4)
     assert options["dbtable"] == '"public"."users"'

@@ -37,6 +37,15 @@ def test_each_file_once(spark, targets, tmp_path, rows):
     assert rows(targets.read("users")) == [(1, "a"), (2, "z")]
 
 
+def test_folders_of_the_pattern_count(spark, targets, tmp_path, rows):
+    targets.create("users", spark.createDataFrame([], SCHEMA).schema)
+    write_file(spark, tmp_path / "in/users/a.parquet", [(1, "a")], SCHEMA)
+    write_file(spark, tmp_path / "in/users/deep/a.parquet", [(2, "b")], SCHEMA)
+    write_file(spark, tmp_path / "in/orders/a.parquet", [(3, "c")], SCHEMA)
+    run(spark, targets, tmp_path, pattern="users/*.parquet")
+    assert rows(targets.read("users")) == [(1, "a")]
+
+
 def test_repeated_micro_batch_is_skipped(spark, targets, tmp_path, rows):
     targets.create("users", spark.createDataFrame([], SCHEMA).schema)
     write_csv(tmp_path / "in/a.csv", "id,name\n1,a\n")

@@ -58,6 +58,15 @@ def test_watermark_without_cursor_fails(place):
         place.sync().run()
 
 
+def test_position_from_a_second_source(place):
+    spec = SyncSpec(output=Location(path=place.base), tables=(USERS,))
+    early = place.frames["users"].where("id < 4")
+    sync = Sync(place.spark, spec, place.source, place.ledger, relational=lambda _: early)
+    sync.run()
+    assert place.ids() == [1, 2, 3]
+    assert place.ledger.get_progress("public.users").cursor == "3"
+
+
 def test_unique_watermark(place):
     spec = TableSpec("users", incremental_column="id", incremental_column_is_unique=True)
     place.sync(spec).run()

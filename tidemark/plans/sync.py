@@ -80,8 +80,9 @@ class Sync:
         ledger: Ledger,
         source_types: Mapping[str, Mapping[str, str]] | None = None,
         rules: Mapping[str, Mapping[str, tuple[str, str]]] | None = None,
-        relational: bool = False,
+        relational: Source | None = None,
     ) -> None:
+        """``relational`` is a source that can compute maxima by itself, for positions."""
         self.spark, self.spec, self.source, self.ledger = configure(spark), spec, source, ledger
         self.source_types = dict(source_types or {})
         self.rules = dict(rules or {})
@@ -164,7 +165,7 @@ class Sync:
             lo = self._saved(df, spec)
             hi = None
             if spec.watermark is not None:
-                end = self._frontier(df, spec, lo)
+                end = self._frontier(df, spec, lo)  # frozen: later rows wait for the next run
                 increments.guard_null_keys(spec, end.null_keys, self.spec.null_keys)
                 hi = end.position
                 if hi is None:
@@ -187,8 +188,9 @@ class Sync:
         return saved
 
     def _frontier(self, df: DataFrame, spec: TableSpec, lo: Position | None) -> Frontier:
-        find = increments.frontier_by_aggregates if self.relational else increments.frontier
-        return find(df, spec, lo)
+        if self.relational is None:
+            return increments.frontier(df, spec, lo)
+        return increments.frontier_by_aggregates(self.relational(spec), spec, lo)
 
     def _write(self, df: DataFrame, spec: TableSpec, intent: Intent) -> SyncOutcome:
         """Write an intent's range, then save its end; a replay writes the same folder."""

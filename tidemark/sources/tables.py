@@ -104,6 +104,41 @@ def jdbc_source(
     return scan
 
 
+def jdbc_catalog_settings(
+    name: str, url: str, properties: dict[str, str] | None = None
+) -> dict[str, str]:
+    """Session settings that show a relational database as a catalog.
+
+    Unlike the plain reader a catalog lets the database compute maxima itself,
+    which is how the end of an increment is found.
+    """
+    root = f"spark.sql.catalog.{name}"
+    options = {
+        "url": url,
+        "pushDownPredicate": "true",
+        "pushDownAggregate": "true",
+        "pushDownLimit": "false",
+        "pushDownOffset": "false",
+        **(properties or {}),
+    }
+    return {
+        root: "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog",
+        **{f"{root}.{key}": value for key, value in options.items()},
+    }
+
+
+def jdbc_catalog_source(spark: SparkSession, name: str) -> Source:
+    """Tables of a database shown as a catalog."""
+
+    def scan(spec: TableSpec) -> DataFrame:
+        table = f"`{name}`.`{spec.lookup_schema}`.`{spec.name}`"
+        if not spark.catalog.tableExists(table):
+            raise MissingTable(f"{spec.full_name} has no visible columns: it is missing or may not be read")
+        return spark.table(table)
+
+    return scan
+
+
 def catalog_listing(spark: SparkSession) -> DataFrame:
     """All tables of all schemas of the session catalog."""
     rows = [

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.paths import file_key, glob_to_regex
 from tidemark.sinks.lake import LakeTargets
-from tidemark.sources.files import FILE_PATH, ROW_ORDER
+from tidemark.sources.files import FILE_PATH, ROW_ORDER, qualify
 from tidemark.specs import IngestSpec, SpecError
 
 BLOCK = "_block"
@@ -32,6 +33,11 @@ def read_file_stream(
     if spec.file_format == "csv":
         reader = reader.option("header", "true")
     stream = reader.format(spec.file_format).load(spec.input.uri)
+    # The listing filters by file name alone; the folders of a pattern are checked
+    # on the file path, by which Spark leaves whole files out.
+    if spec.pattern.rpartition("/")[0] != "**":
+        key = file_key(F.col("_metadata.file_path"), qualify(spark, spec.input.uri))
+        stream = stream.where(key.rlike(glob_to_regex(spec.pattern, spec.input.bucket is not None)))
     block = "row_index" if spec.file_format == "parquet" else "file_block_start"
     return stream.select(
         "*",
