@@ -39,6 +39,7 @@ def test_decimal_on_request():
         (T.DoubleType(), "DOUBLE PRECISION"), (T.StringType(), "TEXT"), (T.BinaryType(), "BYTEA"),
         (T.DateType(), "DATE"), (T.TimestampType(), "TIMESTAMPTZ"),
         (T.TimestampNTZType(), "TIMESTAMP"), (T.DayTimeIntervalType(), "INTERVAL"),
+        (T.TimeType(), "TIME"),
         (T.DecimalType(10, 2), "TEXT"), (T.ArrayType(T.LongType()), "TEXT"),
         (T.StructType([T.StructField("a", T.LongType())]), "TEXT"),
         (T.MapType(T.StringType(), T.LongType()), "TEXT"),

@@ -231,6 +231,37 @@ def test_values_take_the_target_type(place):
         place.ingest().run()
 
 
+def test_types_spark_has_no_equal_for(place):
+    import datetime
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    ns = 1770681600123456789
+    data = {
+        "id": pa.array([2**64 - 1, 7], pa.uint64()),
+        "plain": pa.array([ns, None], pa.timestamp("ns")),
+        "zoned": pa.array([ns, -1], pa.timestamp("ns", "UTC")),
+        "price": pa.array([1, 2]).cast(pa.decimal128(20, 0)),
+        "small": pa.array([255, 1], pa.uint8()),
+        "at": pa.array([datetime.time(1, 2, 3, 4), None], pa.time64("us")),
+    }
+    (place.inbox / "users").mkdir()
+    pq.write_table(pa.table(data), place.inbox / "users/a.parquet")
+    place.ingest(IngestRoute("users/*", "users", create_if_missing=True)).run()
+    out = place.targets.read("public.users")
+    assert dict(out.dtypes) == {
+        "id": "bigint", "plain": "timestamp_ntz", "zoned": "timestamp", "price": "string",
+        "small": "smallint", "at": "string",
+    }
+    when = datetime.datetime(2026, 2, 10, 0, 0, 0, 123456)
+    got = {r["id"]: r for r in out.withColumn("zoned", F.col("zoned").cast("string")).collect()}
+    assert (got[-1]["plain"], got[-1]["zoned"]) == (when, "2026-02-10 00:00:00.123456")
+    assert (got[7]["plain"], got[7]["zoned"]) == (None, "1969-12-31 23:59:59.999999")
+    assert (got[7]["price"], got[-1]["small"]) == ("2", 255)
+    assert (got[-1]["at"], got[7]["at"]) == ("01:02:03.000004", None)
+
+
 def test_a_crash_before_the_commit_loads_the_files_again(place, monkeypatch):
     place.file("users/a.parquet", [(1, "a")])
 

@@ -51,9 +51,13 @@ LAKE_TO_TARGET: dict[type[T.DataType], str] = {
     T.DateType: "DATE",
     T.TimestampType: "TIMESTAMPTZ",
     T.TimestampNTZType: "TIMESTAMP",
+    T.TimeType: "TIME",
     T.DayTimeIntervalType: "INTERVAL",
 }
 
+# Target types whose values are carried as text.
+CARRIED_AS_TEXT = ("TEXT", "INTERVAL", "TIME")
+
 
 def lake_type(source_type: str, decimal: T.DecimalType | None = None) -> T.DataType:
     """Lake type of a source type; numeric is text unless a decimal is asked for."""
@@ -128,7 +132,7 @@ def for_target(df: DataFrame, keep_decimal: bool = False) -> DataFrame:
     """Bring file columns to values a target column can hold.
 
     Small integers widen to 16 bits; decimals, nested values and every other
-    type that maps to TEXT are rendered as text, nested ones as JSON.
+    type without a column type of its own become text, nested ones as JSON.
     """
     columns = []
     for f in df.schema.fields:
@@ -137,7 +141,7 @@ def for_target(df: DataFrame, keep_decimal: bool = False) -> DataFrame:
             c = c.cast("smallint")
         elif isinstance(f.dataType, T.DecimalType) and keep_decimal:
             pass
-        elif not isinstance(f.dataType, T.StringType) and target_type(f.dataType) in ("TEXT", "INTERVAL"):
+        elif not isinstance(f.dataType, T.StringType) and target_type(f.dataType) in CARRIED_AS_TEXT:
             c = as_text(c, f.dataType)
         columns.append(c.alias(f.name, metadata=f.metadata))
     return df.select(*columns)

@@ -106,7 +106,10 @@ class Ingest:
         for group in sources.group_by_columns(self.spark, chunk, fmt, keep_order):
             paths = [r["path"] for r in group]
             scan = sources.with_row_order(sources.read_files(self.spark, paths, fmt), fmt)
-            scans.append(scan if fmt == "parquet" else self._as_parquet(scan))
+            if fmt == "parquet":
+                scans.append(sources.stored_values(scan, group[0]["column_set"]))
+            else:
+                scans.append(self._as_parquet(scan))
         return scans
 
     def _as_parquet(self, scan: DataFrame) -> DataFrame:

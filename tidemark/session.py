@@ -12,10 +12,14 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 # Settings the operators count on. Timestamps are read and shown in UTC and
 # written in microseconds, which carry the statistics that let a later scan skip
 # row groups (the default INT96 form carries none). The rest lets Spark split
-# skewed joins and size shuffle partitions at run time.
+# skewed joins and size shuffle partitions at run time. Nanosecond timestamps in
+# files are read as numbers, which ingest turns into timestamps; times of day are
+# read as such and stored as text.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.timeType.enabled": "true",
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

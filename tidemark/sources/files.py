@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ast
 import itertools
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.conversions import from_epoch, wrap_unsigned
 from tidemark.functions.paths import file_key, glob_to_regex
 from tidemark.specs import Location, SpecError
 
@@ -127,6 +129,21 @@ def read_files(
     raise SpecError(f"unknown file format {file_format!r}")
 
 
+def stored_values(df: DataFrame, column_set: str | None) -> DataFrame:
+    """Undo what Spark makes of Parquet types it has no equal for.
+
+    Unsigned 64-bit integers arrive as decimals and wrap to signed ones;
+    nanosecond timestamps arrive as numbers and become timestamps.
+    """
+    for name, kind in ast.literal_eval(column_set) if column_set else ():
+        if kind == "uint64":
+            df = df.withColumn(name, wrap_unsigned(F.col(f"`{name}`")))
+        elif kind.startswith("timestamp[ns"):
+            ts = from_epoch(F.col(f"`{name}`"), "ns", zoned="tz=" in kind)
+            df = df.withColumn(name, ts)
+    return df
+
+
 def with_row_order(df: DataFrame, file_format: str) -> DataFrame:
     """Add the file's URI and a column that orders the rows of one file.
 
