@@ -136,6 +136,15 @@ def test_upsert_rewrites_touched_buckets_only(place):
     assert len(got) == 30 and got[7] == "new" and set(got.values()) == {"old", "new"}
 
 
+def test_rows_without_keys_pile_up_apart(place):
+    for i, rows in enumerate([[(None, "a"), (1, "a")], [(None, "b")], [(1, "c"), (None, "c")]]):
+        place.file(f"users/{i}.parquet", rows)
+        place.ingest(write_mode="upsert").run()
+    assert place.rows() == [(1, "c"), (None, "a"), (None, "b"), (None, "c")]
+    assert [r[1] for r in place.targets.read("public.users", [-1]).orderBy("name").collect()] == ["a", "b", "c"]
+    assert all(-1 not in c["buckets"] for c in place.ledger.commits("public.users"))
+
+
 def test_upsert_needs_a_route_with_keys(place):
     place.file("other/a.parquet", [(1, "a")])
     with pytest.raises(SpecError, match="key columns"):

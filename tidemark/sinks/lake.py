@@ -25,8 +25,15 @@ from tidemark.sources.tables import MissingTable
 BUCKET = "_bucket"
 
 
+# Bucket of the rows with a NULL in a key: they never conflict, so upserts only
+# ever add to it.
+KEYLESS = -1
+
+
 def bucket_of(keys: Sequence[str], n_buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(n_buckets)).cast("int")
+    columns = [F.col(f"`{k}`") for k in keys]
+    bucket = F.pmod(F.xxhash64(*columns), F.lit(n_buckets)).cast("int")
+    return F.when(merge.has_all_keys(keys), bucket).otherwise(KEYLESS)
 
 
 class LakeTargets:
@@ -63,7 +70,8 @@ class LakeTargets:
         if not head["n_buckets"]:
             paths = [f"{base}/{f}" for c in commits for f in c["folders"]]
         else:
-            # A rewrite takes over the buckets it touched; others keep theirs.
+            # A rewrite takes over the buckets it touched; others keep theirs and
+            # may grow.
             live: dict[int, list[str]] = {}
             for c in commits:
                 if c["kind"] == "rewrite":
@@ -71,8 +79,7 @@ class LakeTargets:
                         live[b] = []
                 for folder in c["folders"]:
                     for b in _buckets_in(self.spark, f"{base}/{folder}"):
-                        if c["kind"] != "rewrite" or b in set(c["buckets"]):
-                            live.setdefault(b, []).append(f"{base}/{folder}/{BUCKET}={b}")
+                        live.setdefault(b, []).append(f"{base}/{folder}/{BUCKET}={b}")
             wanted = live if buckets is None else [b for b in buckets if b in live]
             paths = [p for b in wanted for p in live[b]]
         if not paths:
@@ -173,7 +180,9 @@ class LakeTargets:
         rows = merge.one_per_key(batch, keys, order, on_duplicate)
         staged = self._stage(table, rows, keys, head["n_buckets"] if bucketed else 0)
         staged_path = self._path(table, staged)
-        touched = _buckets_in(self.spark, staged_path) if bucketed else None
+        touched = None
+        if bucketed:
+            touched = [b for b in _buckets_in(self.spark, staged_path) if b != KEYLESS]
         reader = self.spark.read.schema(_nullable(rows.schema))
         rows = reader.option("recursiveFileLookup", "true").parquet(staged_path)
         merged = merge.upsert_unique(self._scan(commits, touched), rows, keys)
