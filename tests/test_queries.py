@@ -24,7 +24,7 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", list(contract.queries()))
 def test_query_agrees_with_sql(spark, sql, name):
     got = contract.queries()[name](spark, SF_DIR).toArrow()
-    want = sql.execute(contract.oracle_sql()[name]).to_arrow_table()
+    want = sql.sql(contract.oracle_sql()[name]).to_arrow_table()
     assert differences(got, want) == []
 
 
