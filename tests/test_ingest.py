@@ -218,6 +218,23 @@ def test_column_sets_by_task_and_by_reader(spark, place, monkeypatch):
     assert [len(g) for g in neighbours] == [1, 1, 1]
 
 
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    for kind in ("parquet", "csv"):
+        pickled = tmp_path / kind
+        pickled.write_bytes(cloudpickle.dumps(files.column_prober(kind, Location(path="/x"))))
+        code = (
+            "import pickle, sys; from pyspark import cloudpickle; "
+            f"f = pickle.loads(open({str(pickled)!r}, 'rb').read()); "
+            "assert list(f(iter([]))) == [] and 'tidemark' not in sys.modules"
+        )
+        subprocess.run([sys.executable, "-I", "-c", code], cwd="/", check=True, timeout=60)
+
+
 def test_csv_upsert_takes_the_last_line(place):
     lines = "".join(f"{i % 10},v{i}\n" for i in range(2000))
     write_csv(place.inbox / "users/a.csv", "id,name\n" + lines)

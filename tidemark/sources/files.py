@@ -166,8 +166,12 @@ def with_row_order(df: DataFrame, file_format: str) -> DataFrame:
 TASK_SCHEMES = ("file", "hdfs", "s3a")
 
 
-def _opener(location: Location):
-    """How a Python task opens a file of a location."""
+def column_prober(file_format: str, location: Location):
+    """The function that tasks run over batches of listed files.
+
+    Everything it calls is nested in it, so it travels to the workers whole and
+    they need no copy of this package.
+    """
     region, endpoint = location.region, location.endpoint
 
     def open_path(path: str):
@@ -184,7 +188,22 @@ def _opener(location: Location):
         store, _ = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
         return store.open_input_file("/" + key)
 
-    return open_path
+    def columns(path: str) -> str:
+        import pyarrow.parquet as pq
+
+        with open_path(path) as source:
+            if file_format == "parquet":
+                return repr([(f.name, str(f.type)) for f in pq.read_schema(source)])
+            text = b""
+            while b"\n" not in text and (more := source.read(4096)):
+                text += more
+            return text.split(b"\n")[0].decode("utf-8", "replace").strip()
+
+    def probe(frames):
+        for frame in frames:
+            yield frame.assign(column_set=[columns(path) for path in frame["path"]])
+
+    return probe
 
 
 def with_column_sets(
@@ -199,30 +218,7 @@ def with_column_sets(
     schema = T.StructType([*files.schema.fields, T.StructField("column_set", T.StringType())])
     if scheme not in TASK_SCHEMES:
         return files.withColumn("column_set", F.lit(None).cast("string"))
-    open_path = _opener(location)
-
-    def probe(frames):
-        import pyarrow.parquet as pq
-
-        for frame in frames:
-            texts = []
-            for path in frame["path"]:
-                with open_path(path) as source:
-                    if file_format == "parquet":
-                        fields = pq.read_schema(source)
-                        texts.append(repr([(f.name, str(f.type)) for f in fields]))
-                    else:
-                        texts.append(_first_line(source))
-            yield frame.assign(column_set=texts)
-
-    return files.mapInPandas(probe, schema)
-
-
-def _first_line(source) -> str:
-    text = b""
-    while b"\n" not in text and (more := source.read(4096)):
-        text += more
-    return text.split(b"\n")[0].decode("utf-8", "replace").strip()
+    return files.mapInPandas(column_prober(file_format, location), schema)
 
 
 def _columns_by_reader(spark: SparkSession, rows: Sequence, file_format: str) -> list[str]:
