@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, quality
+from tidemark.llm import language, packing, quality, toxicity
 from tidemark.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,9 +71,35 @@ def rules_as_sql(rules: tuple[quality.Rule, ...] = quality.RULES) -> str:
     return " AND ".join(f"({p})" for p in parts)
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of 2048 tokens."""
+    pieces = packing.pieces(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 2048)
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(digests, 2048, order=("doc_id", "piece", "ids_crc32"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from labels with another remainder than 0."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(remainder("doc_id", 5) != 0)
+    model = toxicity.fit(docs, labels)
+    held_out = (remainder("doc_id", 5) == 0).alias("held_out")
+    scored = toxicity.score(docs, model, keep=("doc_id",))
+    return scored.select("doc_id", held_out, "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op3_quality_rules": op3_quality_rules,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_toxicity": op5_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
