@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, packing, quality, toxicity
+from tidemark.llm import language, lines, packing, quality, sharding, simhash, toxicity
 from tidemark.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,13 +95,88 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", "predicted")
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document over three-word shingles, and its component."""
+    prints = simhash.fingerprints(table(spark, sf_dir, "documents"), 3, ("doc_id",))
+    found = simhash.grouped(prints, 3)
+    return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that five or more sources have."""
+    cleaned = lines.clean(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", "n_chars", "n_removed")
+
+
+OP7_SQL = """
+WITH occurrences AS (
+    SELECT doc_id, source, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line
+    FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents)
+), spread AS (
+    SELECT line, min(doc_id) AS keeper FROM occurrences WHERE length(line) >= <CHARS>
+    GROUP BY line HAVING count(DISTINCT source) >= <SITES>
+), numbered AS (
+    SELECT row_number() OVER () AS r, doc_id, text, n_chars FROM documents
+), parts AS (
+    SELECT r, doc_id, unnest(string_split(text, chr(10))) AS part,
+           unnest(range(0, len(string_split(text, chr(10))))) AS i FROM numbered
+), judged AS (
+    SELECT r, part, i, line IS NOT NULL AND p.doc_id IS DISTINCT FROM keeper AS removed
+    FROM parts p LEFT JOIN spread ON line = trim(part, ' ' || chr(9) || chr(11) || chr(12) || chr(13))
+), rebuilt AS (
+    SELECT r, string_agg(part, chr(10) ORDER BY i) FILTER (NOT removed) AS kept, count(*) FILTER (removed) AS n
+    FROM judged GROUP BY r
+)
+SELECT doc_id, CASE WHEN n > 0 THEN coalesce(kept, '') ELSE text END AS text,
+       CASE WHEN n > 0 THEN length(coalesce(kept, '')) ELSE n_chars END AS n_chars, coalesce(n, 0) AS n_removed
+FROM numbered LEFT JOIN rebuilt USING (r)
+"""
+
+SHARD_BYTES = 1 << 20
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the shard of at most a mebibyte of text that it goes to."""
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select(
+        "doc_id",
+        sharding.row_hash("doc_id", "text").alias("hash"),
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"),
+    )
+    return sharding.shard(rows, SHARD_BYTES).select("doc_id", "bytes", "shard", "depth", "page")
+
+
+# Copies of a row are beyond it: it numbers no pages, since ids are distinct.
+OP9_SQL = """
+WITH hashed AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(strlen(text), 0) AS bytes,
+           ('0x' || substr(md5(concat_ws('|', coalesce(doc_id::VARCHAR, ''), coalesce(text, ''))), 1, 15))::BIGINT AS hash
+    FROM documents
+), sizes AS (
+    SELECT d, hash >> (60 - d) AS prefix, sum(bytes) AS total, min(hash) = max(hash) AS alone
+    FROM hashed, range(0, 61) AS t(d) GROUP BY ALL
+), depths AS (
+    SELECT r, min(sizes.d) AS depth FROM hashed, sizes
+    WHERE prefix = hash >> (60 - d) AND (total <= <LIMIT> OR alone) GROUP BY r
+)
+SELECT doc_id, bytes, CASE WHEN depth = 0 THEN '' ELSE right(lpad(bin(hash >> (60 - depth)), 60, '0'), depth) END AS shard,
+       depth::INTEGER AS depth, 0::BIGINT AS page
+FROM hashed JOIN depths USING (r)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op3_quality_rules": op3_quality_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_toxicity": op5_toxicity,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_line_dedup": op7_line_dedup,
+    "op9_sharding": op9_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": OP3_SQL.replace("<STOP_WORDS>", str(list(quality.STOP_WORDS))).replace("<RULES>", rules_as_sql()),
+    "op7_line_dedup": OP7_SQL.replace("<CHARS>", "20").replace("<SITES>", "5"),
+    "op9_sharding": OP9_SQL.replace("<LIMIT>", str(SHARD_BYTES)),
 }
