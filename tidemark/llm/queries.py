@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, lines, packing, quality, sharding, simhash, toxicity
+from tidemark.llm import bpe, extraction, language, lines, packing, quality, sharding, simhash, topk, toxicity
 from tidemark.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,28 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model, keep=("doc_id",)).select("doc_id", held_out, "lang_pred", "score")
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows of `embeddings` for every twentieth, by integer inner product."""
+    rows = table(spark, sf_dir, "embeddings").filter(topk.usable(F.col("embedding")))
+    vectors = rows.select(F.col("vec_id").alias("id"), topk.quantized(F.col("embedding"), 64.0).alias("vector"))
+    return topk.search(vectors, vectors.filter(F.col("id") % 20 == 0), 20)
+
+
+OP2_SQL = """
+WITH vectors AS (
+    SELECT vec_id AS id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.id AS query_id, c.id AS vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.id <> c.id WHERE q.id % 20 = 0
+), ranked AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base counts of every document, and whether it keeps all rules."""
     judged = quality.judge(quality.counts(table(spark, sf_dir, "documents"), keep=("doc_id",)))
@@ -132,6 +154,18 @@ SELECT doc_id, CASE WHEN n > 0 THEN coalesce(kept, '') ELSE text END AS text,
 FROM numbered LEFT JOIN rebuilt USING (r)
 """
 
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids of every document and of the text they decode to."""
+    ranks = vocabulary("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, keep=("doc_id",))
+    return bpe.decode(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 SHARD_BYTES = 1 << 20
 
 
@@ -165,17 +199,26 @@ FROM hashed JOIN depths USING (r)
 """
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extraction.extract(table(spark, sf_dir, "pages"), keep=("page_id", "url"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
+    "op2_exact_top_k": op2_exact_top_k,
     "op3_quality_rules": op3_quality_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_toxicity": op5_toxicity,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_sharding": op9_sharding,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_exact_top_k": OP2_SQL,
     "op3_quality_rules": OP3_SQL.replace("<STOP_WORDS>", str(list(quality.STOP_WORDS))).replace("<RULES>", rules_as_sql()),
     "op7_line_dedup": OP7_SQL.replace("<CHARS>", "20").replace("<SITES>", "5"),
     "op9_sharding": OP9_SQL.replace("<LIMIT>", str(SHARD_BYTES)),
