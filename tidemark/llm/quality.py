@@ -108,7 +108,10 @@ def counts(docs: DataFrame, keep: tuple[str, ...] | None = None) -> DataFrame:
         "n_stop_words": F.size(F.filter(words, lambda w: w.isin(*STOP_WORDS))),
         "n_lines": F.size(lines),
     }
-    return with_windows.select(*keep, *(c.cast("long").alias(n) for n, c in measured.items()))
+    # A generated row keeps filters on the counts where they are; pushed down they
+    # would work the counts out anew, step into step.
+    row = F.struct(*(c.cast("long").alias(n) for n, c in measured.items()))
+    return with_windows.select(*keep, F.inline(F.array(row)))
 
 
 def judge(counted: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, extraction, language, lines, packing, quality, sharding, simhash, topk, toxicity
-from tidemark.llm.common import remainder, table
+from tidemark.llm.common import remainder, table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,13 +93,6 @@ def rules_as_sql(rules: tuple[quality.Rule, ...] = quality.RULES) -> str:
     return " AND ".join(f"({p})" for p in parts)
 
 
-def vocabulary(name: str) -> str:
-    """Place of a public tokenizer's file, the same on every machine."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of 2048 tokens."""
     pieces = packing.pieces(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 2048)

@@ -206,6 +206,13 @@ def compare(blocks: DataFrame, radius: int) -> DataFrame:
     return together.select("mask", "part", "fingerprint").mapInArrow(run, "a long, b long")
 
 
+def rooted(prints: DataFrame, radius: int) -> DataFrame:
+    """Each distinct fingerprint with the least one that links reach, its own if none."""
+    found = components(links(prints, radius)).withColumnRenamed("node", "fingerprint")
+    root = F.coalesce("root", "fingerprint").alias("root")
+    return prints.select("fingerprint").distinct().join(found, "fingerprint", "left").select("fingerprint", root)
+
+
 def grouped(prints: DataFrame, radius: int) -> DataFrame:
     """`prints` with `component_id`, the least doc_id that links reach.
 
@@ -214,17 +221,34 @@ def grouped(prints: DataFrame, radius: int) -> DataFrame:
     component has no other rows its id is NULL.
     """
     prints = cut(prints.drop("component_id"))
-    nodes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("_least"))
-    found = components(links(prints, radius))
-    rooted = nodes.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint")
-    least = rooted.groupBy("root").agg(F.min("_least").alias("_least"))
-    linked = rooted.select("fingerprint", "root").join(least, "root").select("fingerprint", F.col("_least").alias("_linked"))
-    # Every fingerprint once, so a fingerprint of many rows is the only skew; adaptive
-    # execution splits it.
-    ids = nodes.join(linked, "fingerprint", "left").select(
-        "fingerprint", F.when(F.col("_linked").isNotNull(), F.col("_linked")).otherwise(F.col("_least")).alias("component_id")
+    roots = rooted(prints, radius)
+    least = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("_least"))
+    ids = least.join(roots, "fingerprint").groupBy("root").agg(F.min("_least").alias("component_id"))
+    # Every fingerprint once, so a fingerprint of many rows is the only skew, and
+    # adaptive execution splits it.
+    known = roots.join(ids, "root").select("fingerprint", "component_id")
+    return prints.join(known, "fingerprint").select(*prints.columns, "component_id")
+
+
+def deduplicated(docs: DataFrame, size: int, radius: int) -> DataFrame:
+    """One row of `docs` for each component: that of least doc_id, NULL last.
+
+    Of rows that differ and share that doc_id one is taken by a hash of the row, and
+    of repeated rows one is left. Rows meet their fingerprints again by that hash, so
+    texts are shuffled once.
+    """
+    columns = docs.columns
+    hashed = docs.withColumn("_row", F.xxhash64(*columns))
+    prints = cut(fingerprints(hashed, size, ("doc_id", "_row")))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    firsts = prints.groupBy("fingerprint").agg(F.min(place).alias("place"))
+    kept = (
+        firsts.join(rooted(prints, radius), "fingerprint")
+        .groupBy("root")
+        .agg(F.min("place").alias("place"))
+        .select(F.col("place._row").alias("_row"))
     )
-    return prints.join(ids, "fingerprint").select(*prints.columns, "component_id")
+    return hashed.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(*columns)
 
 
 def as_hex(column: str) -> Column:
