@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import language, quality
-from tidemark.llm.common import DOCUMENT
+from tidemark.llm import language, lines, packing, quality, simhash
+from tidemark.llm.common import DOCUMENT, vocabulary
 from tidemark.session import scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -29,9 +30,35 @@ def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.good(docs.select(*DOCUMENT))
 
 
+def without_spread_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup: lines that many sources have stay in one document each.
+
+    Documents of which no line is left go.
+    """
+    docs = docs.select(*DOCUMENT)
+    cleaned = lines.clean(docs)
+    empty = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return cleaned.filter(~empty).select(*DOCUMENT)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash near-dedup over five-word shingles: one document of each group stays."""
+    return simhash.deduplicated(docs.select(*DOCUMENT), size=5, radius=3)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Best-fit packing: every piece of every document, with its place in a sequence."""
+    pieces = packing.pieces(docs, vocabulary("word_bpe_49k.json"), 2048)
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(digests, 2048, order=("doc_id", "piece", "ids_crc32"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", identified),
     ("quality_rules", of_quality),
+    ("line_dedup", without_spread_lines),
+    ("simhash_near_dedup", one_of_each_group),
+    ("best_fit_packing", packed),
 ]
 
 # Language ID and near-duplicates are beyond SQL; tests hold them against brute force.
