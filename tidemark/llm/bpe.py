@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.common import ROWS_AT_A_TIME, map_rows
+from tidemark.llm.common import ROWS_AT_A_TIME, kept_by_worker, map_rows
 
 # The text and id of the vocabulary's special token, and the pattern
 # that splits a text before merges.
@@ -134,7 +134,7 @@ def encode(docs: DataFrame, ranks_path: str, keep: tuple[str, ...] | None = None
     keep = [c for c in keep or docs.columns if c != "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks_path)
+        encoder = kept_by_worker(("chunk encoder", ranks_path), lambda: Encoder(ranks_path))
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_A_TIME):
                 part = batch.slice(at, ROWS_AT_A_TIME)

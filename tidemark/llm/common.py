@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -48,6 +50,14 @@ def fields(ddl: str) -> list[T.StructField]:
     return T._parse_datatype_string(ddl).fields
 
 
+def kept_by_worker(key: tuple, make: Callable):
+    """What `make` returns, made once in a worker process and kept between tasks."""
+    kept = sys.modules.setdefault("_tidemark_kept", types.ModuleType("_tidemark_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def map_rows(
     df: DataFrame,
     inputs: Sequence[str],

@@ -9,6 +9,8 @@ in by their rank among the rows of their length.
 from __future__ import annotations
 
 import json
+import re
+from array import array
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import ROWS_AT_A_TIME, cut
+from tidemark.llm.common import ROWS_AT_A_TIME, cut, kept_by_worker
 
 END_OF_DOCUMENT = 0
 
@@ -28,53 +30,49 @@ END_OF_DOCUMENT = 0
 RANKED_TOGETHER = 50_000
 
 
-class WordEncoder:
+class WordEncoder(dict):
     """Token ids of whole texts, as the tokenizer file's library gives them.
 
     The file's merges end at spaces, so the parts of a text between spaces are
-    encoded one by one and kept. Parts of plain Latin letters go straight to the
-    merges; all others go through the tokenizer itself.
+    encoded one by one and kept, little-endian unsigned 32-bit. Parts of plain Latin
+    letters, digits and punctuation go straight to the merges; all others go through
+    the tokenizer itself.
     """
 
-    def __init__(self, path: str, kept_parts: int = 300_000):
+    def __init__(self, path: str, kept_parts: int = 250_000):
         import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kept_parts = kept_parts
-        self.ids: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as file:
             vocabulary = json.load(file)["model"]["vocab"]
         ranks = {token_bytes(t): i for t, i in vocabulary.items() if not t.startswith("<|")}
-        self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe
-
-    def encode_parts(self, parts: list[str]) -> None:
-        if len(self.ids) > self.kept_parts:
-            self.ids.clear()
-        others = []
-        for part in parts:
-            if part.isalpha() and max(part) < LATIN_END and "İ" not in part:
-                ids = self.merge.encode_single_piece(part.lower().encode() + END_OF_WORD)
-                self.ids[part] = np.array(ids, "<u4").tobytes()
-            else:
-                others.append(part)
-        for part, encoded in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            self.ids[part] = np.array(encoded.ids, "<u4").tobytes()
+        encoding = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})
+        self.merged = encoding._core_bpe.encode_single_piece
+
+    def __missing__(self, part: str) -> bytes:
+        if PLAIN.fullmatch(part) and "<|" not in part:
+            ids = [i for piece in PIECES.findall(part.lower()) for i in self.merged(piece.encode() + END_OF_WORD)]
+        else:
+            ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+        found = self[part] = array("I", ids).tobytes()
+        return found
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text, little-endian unsigned 32-bit."""
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        unseen = set().union(*split) - self.ids.keys()
-        if len(self.ids) + len(unseen) > self.kept_parts:
-            unseen = set().union(*split)
-            self.ids.clear()
-        self.encode_parts(list(unseen))
-        for parts in split:
-            yield b"".join(map(self.ids.__getitem__, parts))
+        """The ids of each text."""
+        for text in texts:
+            if len(self) > self.kept_parts:
+                self.clear()
+            yield b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-# Latin letters below this have no combining forms, so normalization leaves them.
-LATIN_END = "ɐ"
+# Latin letters that no normalization changes and whose small form is one letter; and
+# ASCII but the apostrophe, which may begin a contraction. Pieces are what the
+# tokenizer's splitting pattern finds in such text.
+LETTERS = "A-Za-zÀ-ÖØ-öø-įıĲ-ſ"
+PLAIN = re.compile(f"[{LETTERS}!-&(-~]*")
+PIECES = re.compile(f"[{LETTERS}]+|[0-9]|[!-&(-/:-@\\[-`{{-~]+")
 
 # Stands for the mark of a word's end; no UTF-8 text holds this byte.
 END_OF_WORD = b"\xff"
@@ -107,7 +105,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path)
+        encoder = kept_by_worker(("word encoder", tokenizer_path), lambda: WordEncoder(tokenizer_path))
         end = END_OF_DOCUMENT.to_bytes(4, "little")
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_A_TIME):
