@@ -63,12 +63,13 @@ def words_of(text: str) -> list[str]:
     return found if text.isascii() else [w for w in found if w.isascii() or any(map(str.isalpha, w))]
 
 
-def padded(word: str) -> str:
-    return f"_{word}_"
+def marked(word: str, n: int) -> str:
+    """The word with its ends marked, for n-grams that hold more than a mark."""
+    return f"_{word}_" if n > 1 else word
 
 
 def grams_of(word: str, n: int) -> list[str]:
-    word = padded(word)
+    word = marked(word, n)
     return [word[i : i + n] for i in range(len(word) - n + 1)]
 
 
@@ -170,9 +171,9 @@ class Scorer:
             if (row := known.get(word)) is not None:
                 rows.append(row)
                 continue
-            word = padded(word)
             for n, get in longest_first:
-                found = [r for i in range(len(word) - n + 1) if (r := get(word[i : i + n])) is not None]
+                text = marked(word, n)
+                found = [r for i in range(len(text) - n + 1) if (r := get(text[i : i + n])) is not None]
                 if found:
                     rows += found
                     break

@@ -34,7 +34,7 @@ WITH vectors AS (
     WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-    SELECT q.id AS query_id, c.id AS vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+    SELECT q.id AS query_id, c.id AS vec_id, coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i])), 0)::BIGINT AS score
     FROM vectors q JOIN vectors c ON q.id <> c.id WHERE q.id % 20 = 0
 ), ranked AS (
     SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored
