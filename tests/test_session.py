@@ -1,5 +1,7 @@
 from types import SimpleNamespace
 
+import pytest
+
 from tidemark import session
 
 
@@ -16,10 +18,11 @@ def test_scratch_folders_lie_below_the_shared_one(spark):
     assert first.startswith(f"{session.checkpoint_root(spark)}/tidemark/x-")
 
 
-def stand_in(setting, launched=None, checkpoint_dir=None):
+def stand_in(setting, launched=None, checkpoint_dir=None, master="local[2]"):
     """Only what the lookup asks of a session."""
     chosen = []
     context = SimpleNamespace(
+        master=master,
         getConf=lambda: {session.CHECKPOINT_SETTING: launched},
         getCheckpointDir=lambda: checkpoint_dir,
         setCheckpointDir=chosen.append,
@@ -33,6 +36,14 @@ def test_the_clusters_setting_comes_first():
         assert session.checkpoint_root(spark) == "/shared" and not chosen
 
 
-def test_a_temporary_folder_only_where_none_is_set():
+def test_a_temporary_folder_only_in_a_local_session():
     spark, chosen = stand_in(None)
     assert session.checkpoint_root(spark) == chosen[0]
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_a_cluster_without_a_shared_folder_is_refused(master):
+    spark, chosen = stand_in(None, master=master)
+    with pytest.raises(session.NoSharedFolder, match="spark.checkpoint.dir"):
+        session.checkpoint_root(spark)
+    assert not chosen

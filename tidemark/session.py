@@ -34,8 +34,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster without a folder that the driver and all executors share."""
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a temporary one only where none is set."""
+    """Shared folder named by the cluster.
+
+    Where none is set, a temporary folder serves a session that runs in one process;
+    any other session is refused, since its executors would write where nobody reads.
+    """
     context = spark.sparkContext
     root = (
         spark.conf.get(CHECKPOINT_SETTING, None)
@@ -43,6 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         or context.getCheckpointDir()
     )
     if root is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise NoSharedFolder(f"set {CHECKPOINT_SETTING} to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="tidemark-")
         context.setCheckpointDir(root)
     return root.rstrip("/")
