@@ -60,7 +60,19 @@ def test_target_contract_keeps_nullability():
     assert contracts.target_columns(schema) == [
         (1, "id", "BIGINT", False), (2, "name", "TEXT", True), (3, "active", "BOOLEAN", True),
     ]
-    assert contracts.create_table_types(schema) == "`id` BIGINT, `name` TEXT, `active` BOOLEAN"
+
+
+def test_casts_that_change_a_value_fail(spark):
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    for good, want in (("CAST(2 AS DOUBLE)", 2), ("CAST(3 AS DECIMAL(9,2))", 3), ("NULL", None), ("'7'", 7), ("5S", 5)):
+        assert contracts.conform(spark.sql(f"SELECT {good} AS a"), schema).first()["a"] == want
+    for bad in ("1.75D", "CAST(1.75 AS DECIMAL(9,2))", "'1.75'", "1e30D", "CAST('NaN' AS DOUBLE)"):
+        with pytest.raises(Exception, match="does not fit bigint"):
+            contracts.conform(spark.sql(f"SELECT {bad} AS a"), schema).collect()
+    day = T.StructType([T.StructField("a", T.DateType())])
+    assert str(contracts.conform(spark.sql("SELECT timestamp_ntz'2024-05-01' AS a"), day).first()["a"]) == "2024-05-01"
+    with pytest.raises(Exception, match="does not fit date"):
+        contracts.conform(spark.sql("SELECT timestamp_ntz'2024-05-01 10:00:00' AS a"), day).collect()
 
 
 def test_lake_schema():

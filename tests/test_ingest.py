@@ -330,3 +330,59 @@ def test_bucketed_read_by_bucket(place):
     place.ingest().run()
     parts = [place.targets.read("public.users", [b]).count() for b in range(3)]
     assert sum(parts) == 20 and max(parts) < 20
+
+
+def test_csv_by_the_standard(place):
+    text = 'id,at,note\n1,2024-05-01 10:00:00,"a ""b"", c"\n2,2024-05-02 00:00:00,"x\ny"\n'
+    write_csv(place.inbox / "users/a.csv", text)
+    place.ingest(file_format="csv").run()
+    assert place.targets.read("public.users").dtypes == [("id", "bigint"), ("at", "timestamp_ntz"), ("note", "string")]
+    assert [(r[0], r[2]) for r in place.rows()] == [(1, 'a "b", c'), (2, "x\ny")]
+    write_csv(place.inbox / "users/b.csv", "id,at,note\n3000000000,2024-05-01,z\n")
+    place.ingest(file_format="csv").run()
+    assert place.rows()[-1][0] == 3000000000
+
+
+@pytest.mark.parametrize("line", ["3", "4,z,extra"])
+def test_ragged_csv_lines_fail(place, line):
+    write_csv(place.inbox / "users/a.csv", f"id,name\n1,a\n{line}\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        place.ingest(file_format="csv").run()
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 10])
+def test_csv_types_do_not_depend_on_batches(place, files_per_batch):
+    write_csv(place.inbox / "users/a.csv", "id,name,empty\n1,10,\n")
+    write_csv(place.inbox / "users/b.csv", "id,name,empty\n2,1.75,2024-01-01\n")
+    place.ingest(file_format="csv", files_per_batch=files_per_batch).run()
+    assert [k for _, k in place.targets.read("public.users").dtypes] == ["bigint", "double", "date"]
+    assert [r[1] for r in place.rows()] == [10.0, 1.75]
+
+
+def test_a_value_that_does_not_fit_the_target_fails(place):
+    write_csv(place.inbox / "users/a.csv", "id,name\n1,10\n")
+    place.ingest(file_format="csv").run()
+    write_csv(place.inbox / "users/b.csv", "id,name\n1,1.75\n")
+    with pytest.raises(Exception, match="1.75 does not fit bigint"):
+        place.ingest(file_format="csv").run()
+    assert place.rows() == [(1, 10)]
+
+
+@pytest.mark.parametrize("key", ["users/_a.parquet", "_stage/b.parquet", ".x/y/c.parquet", "users/deep/.d.parquet"])
+def test_hidden_files_are_named(place, key):
+    place.file(key, [(1, "a")])
+    with pytest.raises(files.HiddenFiles, match=key):
+        place.ingest().run()
+
+
+def test_what_writers_leave_is_no_hidden_file(place):
+    place.file("users/a.parquet", [(1, "a")])
+    place.file("users/_temporary/0/b.parquet", [(2, "b")])
+    write_csv(place.inbox / "users/_SUCCESS", "")
+    write_csv(place.inbox / "users/.other.parquet.crc", "")
+    assert place.ingest().run().files == 1
+
+
+def test_types_spark_has_no_equal_for_on_any_store(place, monkeypatch):
+    monkeypatch.setattr(files, "TASK_SCHEMES", ())
+    test_types_spark_has_no_equal_for(place)

@@ -3,6 +3,7 @@ import pytest
 from tests.test_ingest import write_csv, write_file
 from tidemark.sinks.lake import LakeTargets
 from tidemark.sinks.ledger import Ledger
+from tidemark.sources.tables import MissingTable
 from tidemark.specs import IngestSpec, Location, SpecError
 from tidemark.streaming.file_ingest import start_ingest
 
@@ -65,3 +66,26 @@ def test_specs_a_stream_cannot_run(spark, targets, tmp_path):
         start_ingest(spark, IngestSpec(here, write_mode="truncate_insert"), targets, "t", "c")
     with pytest.raises(SpecError, match="key columns"):
         start_ingest(spark, IngestSpec(here, write_mode="upsert"), targets, "t", "c")
+
+
+def test_columns_that_a_file_lacks_keep_their_values(spark, targets, tmp_path, rows):
+    schema = "id int, name string, mail string"
+    targets.create("users", spark.createDataFrame([], schema).schema, ["id"])
+    write_file(spark, tmp_path / "in/a.parquet", [(1, "a", "a@x")], schema)
+    run(spark, targets, tmp_path, write_mode="upsert")
+    write_file(spark, tmp_path / "in/b.parquet", [(1, "A")], SCHEMA)
+    run(spark, targets, tmp_path, write_mode="upsert")
+    assert rows(targets.read("users")) == [(1, "A", "a@x")]
+
+
+def test_decimals_become_text_as_in_a_batch(spark, targets, tmp_path, rows):
+    targets.create("users", spark.createDataFrame([], SCHEMA).schema)
+    write_file(spark, tmp_path / "in/a.parquet", [(1, 2)], "id int, name int")
+    spark.sql("SELECT 2 AS id, CAST(1.50 AS DECIMAL(9,2)) AS name").write.parquet(str(tmp_path / "in/b"))
+    run(spark, targets, tmp_path)
+    assert rows(targets.read("users")) == [(1, "2"), (2, "1.50")]
+
+
+def test_a_stream_needs_its_target(spark, targets, tmp_path):
+    with pytest.raises(MissingTable):
+        start_ingest(spark, IngestSpec(Location(path=str(tmp_path))), targets, "none", "c")

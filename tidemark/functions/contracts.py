@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,11 +123,6 @@ def target_columns(schema: T.StructType) -> list[tuple[int, str, str, bool]]:
     ]
 
 
-def create_table_types(schema: T.StructType) -> str:
-    """Value for the JDBC writer's ``createTableColumnTypes`` option."""
-    return ", ".join(f"`{name}` {kind}" for _, name, kind, _ in target_columns(schema))
-
-
 def for_target(df: DataFrame, keep_decimal: bool = False) -> DataFrame:
     """Bring file columns to values a target column can hold.
 
@@ -147,10 +142,26 @@ def for_target(df: DataFrame, keep_decimal: bool = False) -> DataFrame:
     return df.select(*columns)
 
 
+def exactly(column: Column, name: str, source: T.DataType, target: T.DataType) -> Column:
+    """A cast that fails on a value it would change; text must read as the target type."""
+    value = column.try_cast(target)
+    if isinstance(source, T.StringType):
+        same = value.isNotNull()
+    elif isinstance(source, (T.NullType, T.BinaryType)) or isinstance(target, T.BinaryType):
+        return column.cast(target)
+    else:
+        same = value.try_cast(source).eqNullSafe(column)
+    problem = F.concat(
+        F.lit(f"column {name}: "), column.cast("string"), F.lit(f" does not fit {target.simpleString()}")
+    )
+    return F.when(column.isNull() | same, value).otherwise(F.raise_error(problem).cast(target))
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast the columns of a batch to an existing target schema.
 
-    Columns the batch lacks stay absent; columns the target lacks are an error.
+    Columns the batch lacks stay absent; columns the target lacks are an error, and
+    so is a value that the target type cannot hold as it is.
     """
     fields = {f.name: f for f in schema.fields}
     unknown = [c for c in df.columns if c not in fields]
@@ -164,5 +175,5 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         elif isinstance(dtype, T.StringType):
             columns.append(as_text(c, f.dataType).alias(f.name))
         else:
-            columns.append(c.cast(dtype).alias(f.name))
+            columns.append(exactly(c, f.name, f.dataType, dtype).alias(f.name))
     return df.select(*columns)

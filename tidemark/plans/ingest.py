@@ -57,6 +57,8 @@ class Ingest:
     ) -> None:
         self.spark, self.spec, self.targets, self.ledger = spark, spec, targets, ledger
         self._schemas: dict[str, T.StructType] = {}
+        self._fits: dict[str, dict[str, tuple[bool, ...]]] = {}
+        self._plan: DataFrame | None = None
         self._scratch: list[str] = []
 
     def plan(self) -> DataFrame:
@@ -68,7 +70,8 @@ class Ingest:
         return f"{self.spec.target_schema}.{table}"
 
     def run(self) -> IngestOutcome:
-        planned = self._planned().orderBy("target_table", "file_key")
+        self._plan = self._planned()
+        planned = self._plan.orderBy("target_table", "file_key")
         total_files = total_rows = 0
         tables = []
         rows = planned.toLocalIterator()
@@ -105,13 +108,32 @@ class Ingest:
         scans = []
         for group in sources.group_by_columns(self.spark, chunk, fmt, keep_order):
             paths = [r["path"] for r in group]
-            scan = sources.with_row_order(sources.read_files(self.spark, paths, fmt), fmt)
             if fmt == "parquet":
+                scan = sources.with_row_order(sources.read_files(self.spark, paths, fmt), fmt)
                 scans.append(sources.stored_values(scan, group[0]["column_set"]))
             else:
-                scans.append(self._as_parquet(scan))
+                scans.append(self._as_parquet(sources.with_row_order(self._text(paths), fmt)))
         return scans
 
+    def _text(self, paths: Sequence[str]) -> DataFrame:
+        return sources.read_csv_text(self.spark, paths, line_breaks=self.spec.csv_line_breaks)
+
+    def _text_types(self, table: str) -> dict[str, T.DataType]:
+        """Types that the cells of all planned files of a table fit, whatever the batches.
+
+        The names of one batch are on the driver at a time.
+        """
+        if table not in self._fits:
+            known: dict[str, tuple[bool, ...]] = {}
+            rows = self._plan.where(F.col("target_table") == table).orderBy("file_key").toLocalIterator()
+            for chunk in _chunks(rows, self.spec.files_per_batch):
+                for group in sources.group_by_columns(self.spark, chunk, self.spec.file_format):
+                    text = self._text([r["path"] for r in group])
+                    if text.columns:
+                        known = sources.combined_fits(known, sources.text_fits(text))
+            self._fits[table] = known
+        return {name: sources.fitting_type(facts) for name, facts in self._fits[table].items()}
+
     def _as_parquet(self, scan: DataFrame) -> DataFrame:
         """Text parsed once: counting and merging then read columns, not lines."""
         path = scratch_dir(self.spark, "ingest-text")
@@ -160,15 +182,19 @@ class Ingest:
     def _route(self, row) -> IngestRoute | None:
         return self.spec.tables[row["route"]] if row["route"] >= 0 else None
 
-    def _ensure(self, table: str, route: IngestRoute | None, scan: DataFrame) -> None:
-        name = self._name(table)
+    def _ensure(self, name: str, table: str, route: IngestRoute | None, scan: DataFrame) -> None:
         if name in self._schemas:
             return
         schema = self.targets.schema(name)
         if schema is None:
             if route is None or not route.create_if_missing:
                 raise MissingTable(f"target table {name} does not exist")
-            schema = for_target(scan.drop(FILE_PATH, ROW_ORDER)).schema
+            columns = scan.drop(FILE_PATH, ROW_ORDER)
+            if self.spec.file_format == "csv":
+                types = self._text_types(table)
+                schema = T.StructType([T.StructField(n, types[n]) for n in columns.columns])
+            else:
+                schema = for_target(columns).schema
             self.targets.create(name, schema, route.key_columns)
         self._schemas[name] = schema
 
@@ -180,19 +206,23 @@ class Ingest:
                 route = self._route(chunk[0])
                 if self.spec.write_mode == "upsert" and (route is None or not route.key_columns):
                     raise SpecError(f"upsert into {table!r} needs key columns")
-                f, r = self._merge_chunk(table, route, chunk)
+                f, r = self._merge_chunk(self._name(table), table, route, chunk)
                 n_files, n_rows = n_files + f, n_rows + r
         return n_files, n_rows
 
-    def _merge_chunk(self, table, route, chunk) -> tuple[int, int]:
-        name = self._name(table)
+    def _merge_chunk(self, name, table, route, chunk, delivery: str | None = None) -> tuple[int, int]:
+        """Merge files into the table `name`; a delivery made before is left alone."""
         n_files = n_rows = 0
-        for scan in self._scans(chunk):
+        for i, scan in enumerate(self._scans(chunk)):
             commit_id = uuid.uuid4().hex
+            if delivery is not None:
+                commit_id = f"{delivery}#{i}" if i else delivery
+                if self.ledger.is_committed(commit_id):
+                    continue
             done = self._record([scan], table, chunk, commit_id)
             if done["files"] == 0:
                 continue
-            self._ensure(table, route, scan)
+            self._ensure(name, table, route, scan)
             batch = self._typed(scan, name)
             if self.spec.write_mode == "insert":
                 self.targets.insert(name, batch.drop(FILE_PATH, ROW_ORDER), commit_id)
@@ -204,6 +234,15 @@ class Ingest:
             n_files, n_rows = n_files + done["files"], n_rows + done["rows"]
         return n_files, n_rows
 
+    def merge_delivery(self, name: str, keys: tuple[str, ...], files: DataFrame, delivery: str) -> None:
+        """Merge listed files of one micro-batch, as a batch run does with its batches."""
+        probed = sources.with_column_sets(self.spark, files, self.spec.file_format, self.spec.input)
+        chunk = sorted(probed.collect(), key=lambda r: r["file_key"])
+        if chunk:
+            self._merge_chunk(name, name, IngestRoute("**", name, keys), chunk, delivery)
+        while self._scratch:
+            sources.delete_folder(self.spark, self._scratch.pop())
+
     def _replace(self, table: str, rows: Iterator) -> tuple[int, int]:
         """Empty the table once and fill it from all files, in one commit.
 
@@ -217,7 +256,7 @@ class Ingest:
             done = self._record(scans, table, chunk, commit_id) if scans else {"files": 0}
             if done["files"] == 0:
                 continue
-            self._ensure(table, self._route(chunk[0]), scans[0])
+            self._ensure(name, table, self._route(chunk[0]), scans[0])
             n_files, n_rows = n_files + done["files"], n_rows + done["rows"]
             if self.spec.truncate == "per_file":
                 folders = []

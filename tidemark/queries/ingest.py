@@ -144,15 +144,18 @@ def ingest_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{root}/in/orders", header=True
     )
     routes = (IngestRoute("orders/*.csv", "orders", create_if_missing=True),)
-    rows = _run_ingest(spark, root, "public.orders", tables=routes, file_format="csv")
-    return rows.select(
-        F.col("o_orderkey").cast("bigint"),
-        F.col("o_custkey").cast("bigint"),
-        "o_orderstatus",
-        "o_totalprice",
-        F.col("o_orderdate").cast("timestamp_ntz"),
-        "o_orderpriority",
-    )
+    return _run_ingest(spark, root, "public.orders", tables=routes, file_format="csv")
+
+
+def ingest_csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with quotes, commas and line breaks, through CSV files and back."""
+    root = scratch_dir(spark, "ingest-csv-text")
+    text = F.concat(F.lit('say "'), F.col("text"), F.lit('", and\n'), F.col("lang"), F.lit("\\"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), "n_chars")
+    writer = docs.write.option("header", True).option("quote", '"').option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/in/docs")
+    routes = (IngestRoute("docs/*.csv", "docs", create_if_missing=True),)
+    return _run_ingest(spark, root, "public.docs", tables=routes, file_format="csv")
 
 
 def ingest_upsert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,6 +185,22 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return targets.read("public.orders")
 
 
+def stream_upsert_some_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by stream, then a later file of keys and balances only."""
+    root = scratch_dir(spark, "stream-columns")
+    customers = table(spark, sf_dir, "customer")
+    targets = LakeTargets(spark, f"{root}/lake", Ledger(spark, f"{root}/ledger"), n_buckets=8)
+    targets.create("public.customer", customers.schema, ("c_custkey",))
+    spec = IngestSpec(Location(path=f"{root}/in"), write_mode="upsert")
+    raised = customers.select("c_custkey", (F.col("c_acctbal") + 1).alias("c_acctbal"))
+    for name, rows in (("a", customers), ("b", raised)):
+        rows.write.parquet(f"{root}/in/{name}")
+        start_ingest(
+            spark, spec, targets, "public.customer", f"{root}/checkpoint", ("c_custkey",)
+        ).awaitTermination()
+    return targets.read("public.customer")
+
+
 _FILES = """
     SELECT doc_id, CASE lang
         WHEN 'en' THEN source || '/part-' || doc_id || '.parquet'
@@ -245,10 +264,19 @@ CHECKS: dict[str, Check] = {
     ),
     "ingest_parquet_rows": (ingest_parquet_rows, "SELECT * FROM lineitem"),
     "ingest_csv_rows": (ingest_csv_rows, "SELECT * FROM orders"),
+    "ingest_csv_documents": (
+        ingest_csv_documents,
+        "SELECT doc_id, 'say \"' || text || '\", and' || chr(10) || lang || '\\' AS text, n_chars FROM documents",
+    ),
     "ingest_upsert_rows": (
         ingest_upsert_rows,
         "SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment "
         "FROM customer",
     ),
     "stream_ingest": (stream_ingest, "SELECT * FROM orders"),
+    "stream_upsert_some_columns": (
+        stream_upsert_some_columns,
+        "SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment "
+        "FROM customer",
+    ),
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ast
 import itertools
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.contracts import exactly
 from tidemark.functions.conversions import from_epoch, wrap_unsigned
 from tidemark.functions.paths import file_key, glob_to_regex
 from tidemark.specs import Location, SpecError
@@ -79,7 +81,7 @@ def discover_files(
     """Files below a location that match a glob, one row each.
 
     Only the listing is read: the content column is pruned away. Spark lists
-    large trees in parallel. The rows are not sorted; order by ``file_key``.
+    large trees in parallel. Matching names that Spark hides are an error. The rows are not sorted; order by ``file_key``.
     """
     apply_hadoop_options(spark, location)
     base = qualify(spark, location.uri)
@@ -92,6 +94,7 @@ def discover_files(
     last = pattern.rsplit("/", 1)[-1]
     if not path_exists(spark, base):
         return spark.createDataFrame([], LISTING_SCHEMA)
+    refuse_hidden(spark, base, pattern, cross_slash)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if "**" not in last and not set(last) & set("[]{}\\"):
         reader = reader.option("pathGlobFilter", last)
@@ -109,6 +112,42 @@ def discover_files(
     )
 
 
+class HiddenFiles(RuntimeError):
+    """Files that a pattern means but whose names Spark does not read."""
+
+
+# What writers leave beside their output.
+WRITERS_OWN = ("_temporary", "_SUCCESS")
+
+
+def refuse_hidden(spark: SparkSession, base: str, pattern: str, cross_slash: bool) -> None:
+    """Raise if the pattern matches files with `_` or `.` at the start of a name.
+
+    Spark's listing leaves such names out. Only they are listed here, level by level.
+    Unfinished output of a writer, below `_temporary`, does not count.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    wanted = re.compile(glob_to_regex(pattern, cross_slash))
+    found: list[str] = []
+    level = base
+    while fs.globStatus(path(f"{level}/*")):
+        for status in fs.globStatus(path(f"{level}/{{_,.}}*")) or []:
+            if status.getPath().getName() in WRITERS_OWN:
+                continue
+            if status.isFile():
+                found.append(status.getPath().toString())
+                continue
+            below = fs.listFiles(status.getPath(), True)
+            while below.hasNext():
+                found.append(below.next().getPath().toString())
+        level += "/*"
+    keys = [uri[len(base.rstrip("/")) + 1 :] for uri in found]
+    matched = sorted(k for k in keys if wanted.search(k) and not set(k.split("/")) & set(WRITERS_OWN))
+    if matched:
+        raise HiddenFiles(f"Spark cannot read names that begin with _ or .: {', '.join(matched[:5])} below {base}")
+
+
 def read_files(
     spark: SparkSession,
     paths: Sequence[str],
@@ -123,12 +162,100 @@ def read_files(
     if file_format == "parquet":
         return reader.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
     if file_format == "csv":
-        if schema is None:
-            reader = reader.option("inferSchema", "true")
-        return reader.option("header", "true").csv(list(paths))
+        text = read_csv_text(spark, paths, schema.names if schema else None)
+        return typed_text(text, schema or T.StructType(text_types(text)))
     raise SpecError(f"unknown file format {file_format!r}")
 
 
+def read_csv_text(
+    spark: SparkSession,
+    paths: Sequence[str],
+    names: Sequence[str] | None = None,
+    line_breaks: bool = True,
+) -> DataFrame:
+    """CSV files with one header as text columns, by RFC 4180.
+
+    Quotes are doubled within quotes, where line breaks are text. A line with more or
+    fewer cells than the header fails. ``line_breaks`` makes a task of each file; off,
+    large files are split and a quoted line break ends the line.
+    """
+    reader = (
+        spark.read.option("header", "true")
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", str(line_breaks).lower())
+        .option("mode", "FAILFAST")
+    )
+    if names is None:
+        names = reader.csv(paths[0]).columns
+    return reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv(list(paths))
+
+
+_DAY, _CLOCK = r"\d{4}-\d{2}-\d{2}", r"\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?"
+# Types that text may have, the narrowest first, with the form of their values.
+TEXT_FORMS: tuple[tuple[T.DataType, str], ...] = (
+    (T.LongType(), r"[+-]?\d+"),
+    (T.DoubleType(), r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"),
+    (T.BooleanType(), "(?i)true|false"),
+    (T.DateType(), _DAY),
+    (T.TimestampNTZType(), f"{_DAY}([ T]{_CLOCK})?"),
+    (T.TimestampType(), f"{_DAY}[ T]{_CLOCK}(Z|[+-]\\d{{2}}(:?\\d{{2}})?)"),
+)
+
+
+def text_fits(text: DataFrame) -> dict[str, tuple[bool, ...]]:
+    """For each text column whether any cell has a value, and which forms all cells have.
+
+    One pass; facts of several batches of files combine to those of all of them.
+    """
+    facts = []
+    for name in text.columns:
+        c = F.col(f"`{name}`")
+        facts.append(F.coalesce(F.bool_or(c.isNotNull()), F.lit(False)))
+        for kind, form in TEXT_FORMS:
+            fits = c.rlike(f"^({form})$") & c.try_cast(kind).isNotNull()
+            facts.append(F.coalesce(F.bool_and(c.isNull() | fits), F.lit(True)))
+    row = text.agg(*[f.alias(str(i)) for i, f in enumerate(facts)]).first()
+    width = 1 + len(TEXT_FORMS)
+    return {n: tuple(row[i * width : (i + 1) * width]) for i, n in enumerate(text.columns)}
+
+
+def combined_fits(known: dict[str, tuple[bool, ...]], more: dict[str, tuple[bool, ...]]) -> dict:
+    """Facts of two sets of files as those of both."""
+    both = dict(known)
+    for name, facts in more.items():
+        if name in both:
+            facts = (both[name][0] or facts[0], *(a and b for a, b in zip(both[name][1:], facts[1:])))
+        both[name] = facts
+    return both
+
+
+def fitting_type(facts: tuple[bool, ...]) -> T.DataType:
+    """The narrowest type that all cells of a column fit; text without any value."""
+    any_value, *fits = facts
+    if any_value:
+        for (kind, _), fit in zip(TEXT_FORMS, fits):
+            if fit:
+                return kind
+    return T.StringType()
+
+
+def text_types(text: DataFrame) -> list[T.StructField]:
+    return [T.StructField(n, fitting_type(facts)) for n, facts in text_fits(text).items()]
+
+
+def typed_text(text: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns as the types of `schema`; a cell that does not fit fails."""
+    return text.select(
+        *(
+            F.col(f"`{f.name}`")
+            if isinstance(f.dataType, T.StringType)
+            else exactly(F.col(f"`{f.name}`"), f.name, T.StringType(), f.dataType).alias(f.name)
+            for f in schema.fields
+        )
+    )
+
+
 def stored_values(df: DataFrame, column_set: str | None) -> DataFrame:
     """Undo what Spark makes of Parquet types it has no equal for.
 
@@ -221,11 +348,39 @@ def with_column_sets(
     return files.mapInPandas(column_prober(file_format, location), schema)
 
 
+# How footers name the types that Spark has no equal for.
+FOOTER_TYPES = {
+    "INTEGER(64,false)": "uint64",
+    "UINT_64": "uint64",
+    "TIMESTAMP(NANOS,true)": "timestamp[ns, tz=UTC]",
+    "TIMESTAMP(NANOS,false)": "timestamp[ns]",
+}
+
+
+def footer_columns(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """Names and types of a Parquet file, by the session's own file systems."""
+    jvm = spark._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(
+        jvm.org.apache.hadoop.fs.Path(path), conf
+    )
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    try:
+        columns = []
+        for field in reader.getFooter().getFileMetaData().getSchema().getFields():
+            logical = field.getLogicalTypeAnnotation()
+            kind = logical.toString() if logical is not None else ""
+            columns.append((field.getName(), FOOTER_TYPES.get(kind, f"{field}")))
+        return columns
+    finally:
+        reader.close()
+
+
 def _columns_by_reader(spark: SparkSession, rows: Sequence, file_format: str) -> list[str]:
     def columns(row) -> str:
         if file_format == "parquet":
-            return spark.read.parquet(row["path"]).schema.simpleString()
-        return repr(spark.read.option("header", "true").csv(row["path"]).columns)
+            return repr(footer_columns(spark, row["path"]))
+        return repr(read_csv_text(spark, [row["path"]]).columns)
 
     with ThreadPoolExecutor(max_workers=16) as pool:
         return list(pool.map(columns, rows))
@@ -242,6 +397,7 @@ def group_by_columns(
     sets = [r["column_set"] for r in files]
     if None in sets:
         sets = _columns_by_reader(spark, files, file_format)
+        files = [{**r.asDict(), "column_set": s} for r, s in zip(files, sets)]
     marked = list(zip(sets, files))
     if keep_order:
         runs = itertools.groupby(marked, key=lambda m: m[0])

@@ -1,55 +1,48 @@
 """File ingest as a stream.
 
-The checkpoint of the file source remembers which files are done, so no ledger
-of files is needed. Files come in order of modification time, not of key, so
-across micro-batches the later written file wins, where a batch run lets the
-greater key win.
+The stream carries the names of new files; each micro-batch of them is merged by the
+code of a batch run, so types, column sets and duplicates are treated alike. The
+checkpoint of the file source remembers which files are done. Files come in order of
+modification time, not of key, so across micro-batches the later written file wins,
+where a batch run lets the greater key win.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.paths import file_key, glob_to_regex
+from tidemark.plans.ingest import Ingest
 from tidemark.sinks.lake import LakeTargets
-from tidemark.sources.files import FILE_PATH, ROW_ORDER, qualify
+from tidemark.sources.files import apply_hadoop_options, qualify
+from tidemark.sources.tables import MissingTable
 from tidemark.specs import IngestSpec, SpecError
 
-BLOCK = "_block"
+# Fixed value: what Spark's listing of whole files gives.
+LISTED = "path string, modificationTime timestamp, length long, content binary"
 
 
-def read_file_stream(
-    spark: SparkSession, spec: IngestSpec, schema: T.StructType, files_per_trigger: int = 1000
-) -> DataFrame:
-    """New files of a folder as a stream, with file URI and row order."""
-    reader = (
-        spark.readStream.schema(schema)
+def read_file_stream(spark: SparkSession, spec: IngestSpec, files_per_trigger: int = 1000) -> DataFrame:
+    """New files of a folder as a stream of names; no content is read."""
+    apply_hadoop_options(spark, spec.input)
+    base = qualify(spark, spec.input.uri)
+    stream = (
+        spark.readStream.format("binaryFile")
+        .schema(LISTED)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_trigger)
         .option("pathGlobFilter", spec.pattern.rsplit("/", 1)[-1])
+        .load(base)
     )
-    if spec.file_format == "csv":
-        reader = reader.option("header", "true")
-    stream = reader.format(spec.file_format).load(spec.input.uri)
-    # The listing filters by file name alone; the folders of a pattern are checked
-    # on the file path, by which Spark leaves whole files out.
-    if spec.pattern.rpartition("/")[0] != "**":
-        key = file_key(F.col("_metadata.file_path"), qualify(spark, spec.input.uri))
-        stream = stream.where(key.rlike(glob_to_regex(spec.pattern, spec.input.bucket is not None)))
-    block = "row_index" if spec.file_format == "parquet" else "file_block_start"
+    key = file_key(F.col("_metadata.file_path"), base)
     return stream.select(
-        "*",
-        F.col("_metadata.file_path").alias(FILE_PATH),
-        F.col(f"_metadata.{block}").alias(BLOCK),
-    )
-
-
-def _with_order(batch: DataFrame, file_format: str) -> DataFrame:
-    """Row order inside a micro-batch; the generated id is not for streams."""
-    row = F.lit(0).cast("bigint") if file_format == "parquet" else F.monotonically_increasing_id()
-    return batch.withColumn(ROW_ORDER, F.struct(BLOCK, row.alias("row"))).drop(BLOCK)
+        key.alias("file_key"),
+        "path",
+        F.col("_metadata.file_path").alias("uri"),
+        "length",
+        F.col("modificationTime").alias("modified_at"),
+    ).where(F.col("file_key").rlike(glob_to_regex(spec.pattern, spec.input.bucket is not None)))
 
 
 def start_ingest(
@@ -62,29 +55,26 @@ def start_ingest(
     files_per_trigger: int = 1000,
     trigger: dict | None = None,
 ):
-    """Start a stream that merges new files into a target table.
+    """Start a stream that merges new files into a target table, which must exist.
 
     The default trigger takes what is there and stops. A micro-batch that is
-    delivered again is recognised by its commit id and skipped.
+    delivered again is recognised by its commit ids and skipped. The driver holds the
+    names of `files_per_trigger` files. Columns that a file lacks keep their values.
     """
     if spec.write_mode == "truncate_insert":
         raise SpecError("a stream inserts or upserts; it cannot truncate")
     if spec.write_mode == "upsert" and not keys:
         raise SpecError(f"upsert into {table!r} needs key columns")
+    if targets.schema(table) is None:
+        raise MissingTable(f"target table {table} does not exist")
+    ingest = Ingest(spark, spec, targets, targets.ledger)
 
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        commit_id = f"{checkpoint}#{batch_id}"
-        if targets.ledger.is_committed(commit_id):
-            return
-        if spec.write_mode == "insert":
-            targets.insert(table, batch.drop(FILE_PATH, BLOCK), commit_id)
-        else:
-            rows = _with_order(batch, spec.file_format)
-            targets.upsert(table, rows, keys, (FILE_PATH, ROW_ORDER), spec.on_duplicate, commit_id)
+    def merge_batch(files: DataFrame, batch_id: int) -> None:
+        ingest.merge_delivery(table, tuple(keys), files, f"{checkpoint}#{batch_id}")
 
-    stream = read_file_stream(spark, spec, targets.schema(table), files_per_trigger)
     return (
-        stream.writeStream.foreachBatch(merge_batch)
+        read_file_stream(spark, spec, files_per_trigger)
+        .writeStream.foreachBatch(merge_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
