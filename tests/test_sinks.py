@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import types as T
 
 from tidemark.sinks import parquet, tables
 from tidemark.sources.tables import jdbc_catalog_settings, jdbc_options
@@ -57,3 +58,18 @@ def test_conflict_statements():
 def test_formats_on_the_classpath(spark):
     assert tables.has_catalog_format(spark, "parquet")
     assert not tables.has_catalog_format(spark, "no_such_format")
+
+
+def test_create_table_text():
+    columns = T.StructType([T.StructField('a"b', T.LongType(), False), T.StructField("t", T.StringType())])
+    assert tables.create_statement("s", "x", columns, ['a"b']) == (
+        'CREATE TABLE IF NOT EXISTS "s"."x" ("a""b" BIGINT NOT NULL, "t" TEXT, PRIMARY KEY ("a""b"))'
+    )
+
+
+def test_runs_with_an_added_column_read_back_whole(spark, tmp_path):
+    spec, base = TableSpec("users"), str(tmp_path)
+    for i, frame in enumerate((spark.sql("SELECT 1 AS id"), spark.sql("SELECT 2 AS id, 'x' AS extra"))):
+        parquet.write_parquet(frame, f"{parquet.table_folder(base, spec)}/{parquet.RUN_COLUMN}=r{i}")
+    found = parquet.read_output(spark, base, spec)
+    assert {tuple(r) for r in found.select("id", "extra").collect()} == {(1, None), (2, "x")}

@@ -207,14 +207,17 @@ def test_catalog_tables_and_lake_table(spark, place):
     assert source(TableSpec("clients", "shop")).count() == 4
     with pytest.raises(MissingTable, match="no visible columns"):
         source(TableSpec("nobody", "shop"))
+    refused = SyncSpec(format="iceberg", warehouse="/w", tables=(TableSpec("users", "lake"),))
+    with pytest.raises(SyncFailed, match="iceberg is not on the classpath"):
+        Sync(spark, refused, place.source, place.ledger).run()
     spec = SyncSpec(
-        format="iceberg", warehouse="/w",
+        format="iceberg", warehouse="/w", lake_fallback="parquet",
         tables=(TableSpec("clients", "shop", incremental_column="id", incremental_column_is_unique=True),),
     )
     lake = Sync(spark, spec, lambda s: source(s).withColumnRenamed("payload", "note"), place.ledger)
     with pytest.raises(SyncFailed):
         lake.run()  # the name is taken by a table of other columns
-    spec2 = SyncSpec(format="iceberg", warehouse="/w", tables=(TableSpec("users", "lake"),))
+    spec2 = SyncSpec(format="iceberg", warehouse="/w", lake_fallback="parquet", tables=(TableSpec("users", "lake"),))
     for want in (4, 8):
         (done,) = Sync(spark, spec2, place.source, place.ledger).run()
         assert done.rows == 4 and spark.table("lake.users").count() == want

@@ -198,7 +198,7 @@ class Sync:
         types = self.source_types.get(name, {})
         rows = snapshot(df, spec, types, intent.lo, intent.hi)
         if self.spec.format == "iceberg":
-            path, count = None, append_table(rows, name)
+            path, count = None, append_table(rows, name, fallback=self.spec.lake_fallback)
         else:
             base = self.spec.output.uri
             path = parquet.run_folder(base, spec, intent.run_ts, intent.run_id)

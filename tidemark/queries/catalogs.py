@@ -65,7 +65,7 @@ def resolve_table_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def introspect_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = [sources.introspect(t, table(spark, sf_dir, t)) for t in INTROSPECTED]
+    found = [sources.introspect(t, table(spark, sf_dir, t), count_rows=True) for t in INTROSPECTED]
     columns = reduce(DataFrame.unionByName, found)
     return columns.select(
         "table_name", "ordinal", "column_name", "target_type", "is_nullable", "non_null_rows"

@@ -54,7 +54,7 @@ def target_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target column types of the line items, with the rows each column fills."""
     lines = table(spark, sf_dir, "lineitem").withColumn("price", money("l_extendedprice"))
     lines = lines.withColumn("keys", F.array("l_orderkey", "l_partkey"))
-    columns = introspect("lineitem", for_target(lines))
+    columns = introspect("lineitem", for_target(lines), count_rows=True)
     return columns.select("ordinal", "column_name", "target_type", "is_nullable", "non_null_rows")
 
 

@@ -69,12 +69,15 @@ def write_parquet(
 def read_output(
     spark: SparkSession, base: str, spec: TableSpec, schema: T.StructType | None = None
 ) -> DataFrame:
-    """All rows a table's runs have written, with run-date columns as text."""
+    """All rows a table's runs have written, with run-date columns as text.
+
+    Columns that only some runs have are NULL in the rows of the others.
+    """
     layout = PARTITION_LAYOUTS[spec.partition_by] if spec.partition_by else ()
     reader = spark.read
     path = table_folder(base, spec)
     if schema is None:
-        schema = reader.parquet(path).schema
+        schema = reader.option("mergeSchema", "true").parquet(path).schema
     hidden = {*layout, RUN_COLUMN}
     fields = [f for f in schema.fields if f.name not in hidden]
     text = [T.StructField(n, T.StringType()) for n in (*layout, RUN_COLUMN)]

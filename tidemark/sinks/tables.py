@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.contracts import create_table_types
+from tidemark.functions.contracts import target_columns
 from tidemark.specs import SpecError
 
 
@@ -23,19 +25,28 @@ def has_catalog_format(spark: SparkSession, table_format: str) -> bool:
     return True
 
 
-def append_table(df: DataFrame, name: str, table_format: str = "iceberg") -> int:
+class MissingFormat(RuntimeError):
+    """A table format whose runtime is not on the classpath."""
+
+
+def append_table(
+    df: DataFrame, name: str, table_format: str = "iceberg", fallback: str | None = None
+) -> int:
     """Append to a catalog table in one commit; create it from the schema if missing.
 
-    Without the format's runtime the table is kept as Parquet by the session
-    catalog. Returns the row count of the same pass.
+    Without the format's runtime it is an error, unless ``fallback="parquet"`` asks for
+    a Parquet table of the session catalog. Returns the row count of the same pass.
     """
     spark = df.sparkSession
+    found = has_catalog_format(spark, table_format)
+    if not found and fallback != "parquet":
+        raise MissingFormat(f"{name}: the runtime of {table_format} is not on the classpath")
     seen = Observation()
     df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     schema = name.rpartition(".")[0]
     if schema:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    if has_catalog_format(spark, table_format):
+    if found:
         if spark.catalog.tableExists(name):
             df.writeTo(name).append()
         else:
@@ -83,6 +94,17 @@ def jdbc_write_options(
     return options
 
 
+def create_statement(schema: str, table: str, columns: T.StructType, keys: Sequence[str] = ()) -> str:
+    """CREATE TABLE with quoted names, target types, NOT NULL and a primary key."""
+    parts = [
+        f"{quote(name)} {kind}" + ("" if nullable else " NOT NULL")
+        for _, name, kind, nullable in target_columns(columns)
+    ]
+    if keys:
+        parts.append(f"PRIMARY KEY ({', '.join(quote(k) for k in keys)})")
+    return f"CREATE TABLE IF NOT EXISTS {quote(schema)}.{quote(table)} ({', '.join(parts)})"
+
+
 def conflict_statement(
     schema: str, table: str, staging: str, columns: Sequence[str], keys: Sequence[str]
 ) -> str:
@@ -117,7 +139,7 @@ def run_statement(spark: SparkSession, url: str, sql: str, properties: dict[str,
 
 
 class JdbcTargets:
-    """Relational tables as ingest targets.
+    """Relational tables: create, insert, replace, upsert. ``Ingest`` does not drive them.
 
     Needs the database's driver on the classpath. Batches are already reduced to
     one row per key. Every write is its own transaction, so a failed run may
@@ -153,9 +175,11 @@ class JdbcTargets:
         options = {"url": self.url, "query": query, **self.properties}
         return not self.spark.read.format("jdbc").options(**options).load().isEmpty()
 
-    def create(self, table: str, df: DataFrame) -> None:
-        writer = df.limit(0).write.format("jdbc").options(**self._options(table))
-        writer.option("createTableColumnTypes", create_table_types(df.schema)).mode("append").save()
+    def create(self, table: str, columns: T.StructType, keys: Sequence[str] = ()) -> None:
+        self._run(create_statement(self.schema, table, columns, keys))
+
+    def _run(self, sql: str) -> None:
+        run_statement(self.spark, self.url, sql, self.properties)
 
     def insert(self, table: str, df: DataFrame) -> None:
         df.write.format("jdbc").options(**self._options(table)).mode("append").save()
@@ -165,7 +189,10 @@ class JdbcTargets:
         writer.option("truncate", "true").mode("overwrite").save()
 
     def upsert(self, table: str, df: DataFrame, keys: Sequence[str]) -> None:
-        staging = f"{table}_staging"
-        df.write.format("jdbc").options(**self._options(staging)).mode("overwrite").save()
-        sql = conflict_statement(self.schema, table, staging, df.columns, keys)
-        run_statement(self.spark, self.url, sql, self.properties)
+        """Merge through a staging table of this call's own, which is dropped after."""
+        staging = f"{table}_{uuid.uuid4().hex}"
+        try:
+            df.write.format("jdbc").options(**self._options(staging)).mode("errorifexists").save()
+            self._run(conflict_statement(self.schema, table, staging, df.columns, keys))
+        finally:
+            self._run(f"DROP TABLE IF EXISTS {quote(self.schema)}.{quote(staging)}")

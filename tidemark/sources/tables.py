@@ -174,13 +174,19 @@ def resolve_tables(listing: DataFrame, schema: str, exclude: Sequence[str] = ())
     return tables.where(~F.col("table_name").isin(*exclude)) if exclude else tables
 
 
-def introspect(name: str, df: DataFrame) -> DataFrame:
+def introspect(name: str, df: DataFrame, count_rows: bool = False) -> DataFrame:
     """Columns of a table in ordinal order with source, lake and target types.
 
-    The non-NULL rows of every column are counted in one pass.
+    From the schema alone; with ``count_rows`` the non-NULL rows of every column are
+    counted in one pass, else their number is NULL.
     """
     fields = df.schema.fields
-    counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(fields)])
+    if count_rows:
+        counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(fields)])
+    else:
+        counts = df.sparkSession.sql("SELECT 1").select(
+            *[F.lit(None).cast("bigint").alias(f"n{i}") for i in range(len(fields))]
+        )
     rows = [
         F.struct(
             F.lit(name).alias("table_name"),

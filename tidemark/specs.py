@@ -155,11 +155,13 @@ class SyncSpec:
     batch_size: int | None = None
     write_mode: str = "append"
     null_keys: str = "error"
+    lake_fallback: str | None = None
 
     def __post_init__(self) -> None:
         _one_of("format", self.format, OUTPUT_FORMATS)
         _one_of("write_mode", self.write_mode, ("append", "overwrite"))
         _one_of("null_keys", self.null_keys, NULL_KEY_POLICIES)
+        _one_of("lake_fallback", self.lake_fallback, (None, "parquet"))
         if self.tables is not None:
             object.__setattr__(self, "tables", tuple(self.tables))
         object.__setattr__(self, "exclude", tuple(self.exclude))
@@ -200,6 +202,7 @@ class IngestSpec:
     truncate: str = "once"
     track_changes: bool = False
     files_per_batch: int = 4096
+    csv_line_breaks: bool = True
 
     def __post_init__(self) -> None:
         _one_of("file_format", self.file_format, FILE_FORMATS)
