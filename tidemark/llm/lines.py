@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import cut
+
 SPACE_CHARACTERS = " \t\x0b\x0c\r"
 
 
@@ -52,7 +54,8 @@ def occurrences(docs: DataFrame, settings: Settings, *columns: Column | str) ->
 def spread_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Hashes of the lines on enough sites, and the least doc_id that has each: line, keeper."""
     sites = occurrences(docs, settings, "doc_id", F.col("source").cast("string").alias("site"))
-    estimated = (
+    # Written once: few lines come near the threshold, and three uses follow.
+    estimated = cut(
         sites.groupBy("line")
         .agg(F.hll_sketch_agg("site", F.lit(settings.precision)).alias("sketch"), F.min("doc_id").alias("keeper"))
         .select("line", "keeper", F.hll_sketch_estimate("sketch").alias("about"))
