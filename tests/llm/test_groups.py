@@ -49,9 +49,19 @@ def near_prints(rng, n, flips):
     return found
 
 
+@pytest.fixture
+def small_batches(spark):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "16")
+    yield
+    spark.conf.set(setting, before)
+
+
 @pytest.mark.parametrize(("large", "flips"), [(4096, 4), (8, 3)])
-def test_linked_groups_equal_all_pairs(spark, monkeypatch, large, flips):
+def test_linked_groups_equal_all_pairs(spark, monkeypatch, small_batches, large, flips):
     monkeypatch.setattr(simhash, "LARGE_BLOCK", large)
+    monkeypatch.setattr(simhash, "ROWS_TOGETHER", 40)
     prints = near_prints(np.random.default_rng(flips), 400, flips)
     rows = [(i * 3 % 400 + 1000, x - SIGNED if x >> 63 else x) for i, x in enumerate(prints)]
     rows += [(None, rows[0][1]), (5, rows[7][1]), (5, rows[7][1])]

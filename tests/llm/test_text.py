@@ -90,6 +90,13 @@ def test_the_bound_on_labelled_rows_holds(spark):
     assert len(model.coordinates) == 5 + 1
 
 
+def test_rows_of_one_id_teach_once(spark):
+    docs = spark.createDataFrame([(1, f"word{i}") for i in range(40)] + [(2, "calm")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, toxicity.Settings(l1=0))
+    assert len(model.coordinates) == 2 + 1
+
+
 def test_no_labels_give_even_scores(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
@@ -216,6 +223,7 @@ def test_article_without_furniture():
         ("<p title='x > y'>in<!-- no --></p>", "in"),
         ("<article class=post><p>x</p><article class=comment>no</article></article>", "x"),
         ("<main><article><h1>T</h1><p>one</article></main><div>related junk of many words, many words</div>", "T\none"),
+        (f"<div class=site-header>Logo</div><div class=entry-header>Title</div><p>{PROSE}</p>", f"Title\n{PROSE}"),
         ("<p><b>unclosed<p>next", "unclosed\nnext"),
     ],
 )

@@ -61,8 +61,10 @@ FURNITURE_NAMES = frozenset(
     "banner banners sidebar sidebars nav navbar navigation menu menus breadcrumb breadcrumbs footer masthead topbar toolbar "
     "comment comments commentlist disqus reply replies respond cookie cookies consent gdpr notice notices alert popup modal "
     "overlay newsletter subscribe subscription signup login signin share sharing social related recommended recommendations "
-    "widget widgets pagination pager copyright disclaimer".split()
+    "widget widgets pagination pager copyright disclaimer header".split()
 )
+# Beside these, a header is an article's own.
+ARTICLE_NAMES = frozenset("article post entry content story".split())
 
 
 @dataclass(slots=True, eq=False)
@@ -95,7 +97,10 @@ def judged(node: Node, text: str) -> None:
     style = found.get("style", "").replace(" ", "").lower()
     node.hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in style
     names = {p.lower() for p in NAME_PART.findall(f"{found.get('class', '')} {found.get('id', '')}")}
-    node.named = bool(names & FURNITURE_NAMES) or found.get("role", "").lower() in FURNITURE_ROLES
+    furniture = names & FURNITURE_NAMES
+    if names & ARTICLE_NAMES:
+        furniture -= {"header"}
+    node.named = bool(furniture) or found.get("role", "").lower() in FURNITURE_ROLES
 
 
 class Open:

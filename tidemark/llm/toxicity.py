@@ -115,7 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     """Learn `toxic` of `labels` from the texts of `docs`, joined by doc_id.
 
     NULL labels, texts and ids teach nothing; a document labelled twice counts with
-    its larger label. At most `train_rows` labelled ids are used, those of smallest
+    its larger label, and of rows of one id the text of least hash. At most `train_rows` labelled ids are used, those of smallest
     hash, so that one task can hold them. With nothing to learn from all weights are
     zero and every score is 0.5.
     """
@@ -127,7 +127,11 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         .limit(settings.train_rows)
     )
     # The bound on `chosen` makes it fit for a broadcast.
-    rows = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
+    labelled = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
+    # Rows that share an id are one; their texts are reduced before they are shuffled.
+    rows = labelled.groupBy("doc_id").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.max("toxic").alias("toxic")
+    )
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(settings)
