@@ -386,3 +386,19 @@ def test_what_writers_leave_is_no_hidden_file(place):
 def test_types_spark_has_no_equal_for_on_any_store(place, monkeypatch):
     monkeypatch.setattr(files, "TASK_SCHEMES", ())
     test_types_spark_has_no_equal_for(place)
+
+
+@pytest.mark.parametrize("keys", [(), ("id",)])
+def test_compacted_tables_have_one_folder(spark, place, keys):
+    rows = [spark.createDataFrame([(i, f"v{i}")], "id int, name string") for i in range(5)]
+    place.targets.create("public.users", rows[0].schema, keys)
+    for frame in rows:
+        place.targets.insert("public.users", frame)
+    if keys:
+        place.targets.upsert("public.users", rows[0].selectExpr("id", "'w' AS name"), keys)
+    want = place.rows()
+    place.targets.compact("public.users")
+    assert place.targets.vacuum("public.users") >= 5
+    assert place.rows() == want and len(want) == 5
+    (commit,) = place.ledger.commits("public.users")
+    assert len(commit["folders"]) == 1 and place.targets.vacuum("public.users") == 0

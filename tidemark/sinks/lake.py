@@ -159,6 +159,23 @@ class LakeTargets:
             schema_json=head["schema_json"],
         )
 
+    def compact(self, table: str) -> None:
+        """Rewrite a table into one folder; its list of commits starts anew.
+
+        Every append and upsert adds a folder and a commit, which readers list. Call
+        this from time to time, and `vacuum` after; no load may run beside.
+        """
+        self.replace(table, [self.stage(table, self.read(table))])
+
+    def vacuum(self, table: str) -> int:
+        """Delete folders that no live commit names; their number. No load may run beside."""
+        live = {folder for c in self._state(table) for folder in c["folders"]}
+        names = child_names(self.spark, f"{self.root}/{table}")
+        dead = [n for n in names if n.startswith("data-") and n not in live]
+        for name in dead:
+            delete_folder(self.spark, self._path(table, name))
+        return len(dead)
+
     def upsert(
         self,
         table: str,
