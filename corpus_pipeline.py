@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, lines, packing, quality, simhash
+from tidemark.llm import language, lines, nearcopies, packing, quality
 from tidemark.llm.common import DOCUMENT, vocabulary
 from tidemark.session import scratch_dir
 
@@ -42,8 +42,11 @@ def without_spread_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup over five-word shingles: one document of each group stays."""
-    return simhash.deduplicated(docs.select(*DOCUMENT), size=5, radius=3)
+    """SimHash near-dedup over five-word shingles: one document of each group stays.
+
+    Documents are one group within op6's radius, or at a Jaccard similarity of 0.8 or more.
+    """
+    return nearcopies.deduplicated(docs.select(*DOCUMENT), size=5, radius=3, least=0.8)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
