@@ -251,16 +251,21 @@ def density(chars: int, tags: int, link_chars: int, link_tags: int, body_share:
 def chosen(root: Node) -> set[Node]:
     """The roots of the subtrees that are the article.
 
-    A page's only article element is taken whole, and a main element bounds the
-    search. Headings beside the path to the densest subtree belong to it.
+    Density sums and the thresholds along the path decide on every page. A page's only
+    article or main element bounds the search where the densest subtree lies inside it,
+    and as a tie-break where that subtree holds it and it has the page's h1 headings.
+    Headings beside the path to the densest subtree belong to it.
     """
     order = in_page_order(root)
-    for tag in ("article", "main"):
+    best = root.best
+    headings = [node for node in order if node.tag == "h1" and node.chars]
+    for tag in ("main", "article"):
         found = outermost(order, tag)
         if len(found) == 1:
-            if tag == "article":
-                return set(found)
-            root = found[0]
+            only = found[0]
+            tied = holds(best, only) and headings and all(holds(only, node) for node in headings)
+            if holds(only, best) or tied:
+                root = only
     best = root.best
     path = {best}
     while best not in (root, None) and (best := best.parent) is not None:
@@ -275,6 +280,12 @@ def chosen(root: Node) -> set[Node]:
     return picked | {node for node in in_page_order(root) if node.tag == "h1" and node.parent in path}
 
 
+def holds(outer: Node, node: Node | None) -> bool:
+    while node is not None and node is not outer:
+        node = node.parent
+    return node is outer
+
+
 def outermost(order: list[Node], tag: str) -> list[Node]:
     """Nodes of a tag that hold text and are in no other of that tag; `order` is the page's."""
     inside: set[Node] = set()
