@@ -17,20 +17,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows
+from tidemark.llm.common import cut, map_rows
 
 UNDETERMINED = "und"
 
 # Runs of word characters that are neither digits nor underscores.
 LETTERS = re.compile(r"[^\W\d_]+")
 
+COUNTING_TASKS = 32
+
 
 @dataclass(frozen=True)
 class Settings:
     """Bounds of the model. They fix its size, whatever the size of the corpus.
 
-    `train_rows` is the number of labelled rows that the tables are counted from, in
-    expectation; rows are chosen by a hash. `words` and `grams` are the entries kept
+    `train_rows` is the number of distinct labelled texts that the tables are counted
+    from at most, shared out equally among the languages, one at least for each; a
+    language's texts of least hash are taken. `words` and `grams` are the entries kept
     for a language (and n-gram length), the most frequent ones. Words and n-grams
     seen less than `least` times are left to the backoff.
     """
@@ -108,17 +111,40 @@ def count_grams(labelled: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def training_rows(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Each language's distinct texts, of least hash where it has more than its number.
+
+    Hashes are even, so the texts below twice the number's share of them hold the least
+    ones; only those are sorted.
+    """
+    hashed = rows.withColumn("_hash", F.xxhash64("text"))
+    distinct = cut(hashed.select("lang", "_hash").distinct())
+    sizes = distinct.groupBy("lang").agg(F.count("*").alias("_n"))
+    number = max(1, settings.train_rows // max(1, sizes.count()))
+    part = F.shiftrightunsigned("_hash", 11)
+    few = part / F.lit(float(1 << 53)) < (2 * number + 200) / F.col("_n")
+    least = Window.partitionBy("lang").orderBy(part, "_hash")
+    chosen = (
+        distinct.join(F.broadcast(sizes), "lang")
+        .filter(few)
+        .withColumn("_place", F.row_number().over(least))
+        .filter(F.col("_place") <= number)
+        .select("lang", "_hash")
+    )
+    taken = hashed.join(F.broadcast(chosen), ["lang", "_hash"], "left_semi")
+    once = taken.groupBy("lang", "_hash").agg(F.min("text").alias("text")).select("lang", "text")
+    # In a few tasks the counts of all words would be large.
+    return once.repartition(COUNTING_TASKS, "text")
+
+
 def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
     """Learn from `text` and `lang` of the rows of `docs`; NULL in either teaches nothing.
 
     Languages are the distinct values of `lang`. An empty table gives a model
     without languages, which answers `und`.
     """
-    rows = docs.filter(F.col("lang").isNotNull()).select("lang", "text")
-    share = settings.train_rows / max(1, rows.select("lang").count())
-    if share < 1:
-        rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 24)) < int(share * (1 << 24)))
-    counted = count_grams(rows.filter(F.col("text").isNotNull()), settings)
+    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
+    counted = count_grams(training_rows(rows, settings), settings)
     per_table = Window.partitionBy("lang", "n")
     most = Window.partitionBy("lang", "n").orderBy(F.desc("seen"), "gram")
     limit = F.when(F.col("n") == 0, settings.words).otherwise(settings.grams)
