@@ -12,7 +12,8 @@ PROSE = (
 # Columns of other meaning under names that operators use.
 CLASHING = (
     "score lang_pred n_words failed length piece ids sequence_id offset predicted fingerprint component_id _row "
-    "n_removed line keeper decoded hash bytes shard depth page rank u v root"
+    "n_removed line keeper decoded hash bytes shard depth page rank u v root "
+    "prefix_tokens n_tokens n_bytes term n docs items kept total z p q"
 ).split()
 
 TEXTS = [
@@ -79,8 +80,31 @@ def pages() -> pa.Table:
     )
 
 
+def conversations() -> pa.Table:
+    """NULL and repeated turns, NULL ids, a conversation that borrows all it has, copies, a prefix of another."""
+    rows = [
+        *((0, t, "user", f"hello there {t}") for t in range(5)),
+        *((c, t, "user", f"hello there {t}") for c in (1, 2, 3, 4, 20) for t in range(5)),
+        (5, None, None, None),
+        (5, 1, "user", "one two"),
+        (5, 1, "user", "one two"),
+        (6, 0, None, "x" * 100_000),
+        (7, 0, "user", ""),
+        (25, 3, "bot", "alone"),
+        (41, 0, "bot", "first of its twenty is missing"),
+        (44, 0, "bot", "a"),
+        (44, 1, "bot", "b"),
+        (-5, 0, "user", "a negative id"),
+        (None, 0, "user", "of no conversation"),
+    ]
+    rows += [(c, 0, "user", "short") for c in range(60, 90)]
+    conv, turn, role, text = zip(*rows)
+    columns = {"conv_id": pa.array(conv, pa.int64()), "turn": pa.array(turn, pa.int64()), "role": pa.array(role), "text": pa.array(text)}
+    return pa.table(columns | {c: pa.array(["clash"] * len(rows)) for c in ("n", "part", "key", "depth", "sequence", "words", "hi")})
+
+
 def write(folder, empty: bool) -> str:
-    for make in (documents, labels, embeddings, pages):
+    for make in (documents, labels, embeddings, pages, conversations):
         table = make()
         pq.write_table(table.slice(0, 0) if empty else table, folder / f"{make.__name__}.parquet")
     return str(folder)

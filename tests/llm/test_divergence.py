@@ -1,0 +1,73 @@
+"""The audit against plain counting, with many sources, ties and empty groups."""
+
+import random
+import re
+from collections import Counter
+
+from tidemark.llm import divergence
+
+
+def brute(rows, least=3, shown=200):
+    groups, docs = {}, {}
+    for text, lang, source in rows:
+        text, lang, source = text or "", lang or "", source or ""
+        lowered = re.sub("[A-Z]", lambda m: m.group().lower(), text)
+        terms = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lowered)
+        groups.setdefault(lang, {}).setdefault(source, Counter()).update(terms)
+        docs.setdefault(lang, Counter()).update(set(terms))
+    out = []
+    for lang, sources in groups.items():
+        kept = [t for t, n in docs[lang].items() if n >= least]
+
+        def shares(counts):
+            total = sum(counts[t] for t in kept)
+            return {t: 1 + 10**9 * (counts[t] + 1) // (total + len(kept)) for t in kept}
+
+        p = {s: shares(c) for s, c in sources.items()}
+        q = shares(sum(sources.values(), Counter()))
+        for s in sources:
+            pair = [(-sum((p[s][t] - p[o][t]) ** 2 // p[o][t] for t in kept), o.encode(), o) for o in sources if o != s]
+            term = [(-((p[s][t] - q[t]) ** 2 // q[t]), t.encode(), t) for t in kept if sources[s][t] and p[s][t] > q[t]]
+            for part, found in (("pair", sorted(pair)), ("term", sorted(term)[:shown])):
+                out += [(lang, s, part, item, -value, rank + 1) for rank, (value, _, item) in enumerate(found)]
+    return sorted(out, key=repr)
+
+
+def test_random_documents(spark, rows):
+    rng = random.Random(11)
+    words = ["Ab", "aB", "c'd", "é", "É", "日本", "x1y", "\U0001f600", *(f"w{chr(97 + i)}" for i in range(20))]
+    table = []
+    for _ in range(400):
+        source = rng.choice(["s0", "s0", "s0", *(f"s{i}" for i in range(12)), None])
+        lang = rng.choice(["en", "en", "de", None])
+        text = rng.choice([None, "", " ".join(rng.choices(words, k=rng.randint(1, 30)))])
+        table.append((text, lang, source))
+    table += [("only once here", "zz", "s1"), ("two", "zz", "s2"), (None, "zz", None)]
+    docs = spark.createDataFrame(table, "text string, lang string, source string")
+    assert rows(divergence.audit(docs)) == brute(table)
+    assert rows(divergence.audit(docs, least_docs=1, terms_shown=2)) == brute(table, 1, 2)
+
+
+def test_counts_are_handed_on_in_parts(spark, rows, monkeypatch):
+    monkeypatch.setattr(divergence, "COUNTS_HELD", 5)
+    monkeypatch.setattr(divergence, "CORRECTIONS_AT_A_TIME", 3)
+    table = [(f"alpha beta gamma {'delta ' * (i % 4)}", "en", f"s{i % 7}") for i in range(60)]
+    docs = spark.createDataFrame(table, "text string, lang string, source string")
+    assert rows(divergence.audit(docs)) == brute(table)
+
+
+def test_each_node_is_corrected_once_with_each_ancestor():
+    tree = divergence.Tree()
+    for items, terms in (([(1, 5, 2), (2, 7, 3)], 4), ([(1, 5, 2), (2, 7, 3), (3, 9, 1)], 2), ([(1, 5, 2), (3, 9, 1)], 1)):
+        tree.insert(items, terms)
+    tree.leave(0)
+    assert tree.noted == 4  # 3 below 1 and 2, 2 below 1, the other 3 below 1
+    assert sorted(tree.times) == [1, 2, 6]
+
+
+def test_sums_beyond_64_bits():
+    tree = divergence.Tree()
+    tree.insert([(1, 10**9, 1), (2, 10**9, 1)], 10**6)
+    far = 10**9 - 1
+    value = -(far**2 + far**2 // 10**9) * 10**6
+    assert tree.finish() == {(1, 2): value, (2, 1): value}

@@ -12,6 +12,9 @@ from tidemark.llm.queries import ORACLE_SQL, QUERIES
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
+NOT_BY_DOCUMENT = ("op2_exact_top_k", "op4_best_fit_packing", "op10_html_extraction", "op11_source_divergence", "op12_conversation_trie")
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 @pytest.mark.parametrize("name", list(ORACLE_SQL))
 def test_query_agrees_with_sql(spark, name):
@@ -19,13 +22,13 @@ def test_query_agrees_with_sql(spark, name):
     assert differences(got, connect(SF_DIR).sql(ORACLE_SQL[name]).to_arrow_table()) == []
 
 
-@pytest.mark.parametrize("name", ["op2_exact_top_k", "op3_quality_rules", "op7_line_dedup"])
+@pytest.mark.parametrize("name", ["op2_exact_top_k", "op3_quality_rules", "op7_line_dedup", "op11_source_divergence", "op12_conversation_trie"])
 def test_awkward_rows_agree_with_sql(spark, awkward, name):
     got = QUERIES[name](spark, awkward).toArrow()
     assert differences(got, connect(awkward).sql(ORACLE_SQL[name]).to_arrow_table()) == []
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("op2_exact_top_k", "op4_best_fit_packing", "op10_html_extraction")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in NOT_BY_DOCUMENT])
 def test_one_row_for_each_document(spark, awkward, name):
     assert QUERIES[name](spark, awkward).count() == len(TEXTS) + 2
 

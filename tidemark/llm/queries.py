@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, extraction, language, lines, packing, quality, sharding, simhash, topk, toxicity
+from tidemark.llm import (
+    bpe,
+    conversations,
+    divergence,
+    extraction,
+    language,
+    lines,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    tokencounts,
+    topk,
+    toxicity,
+)
 from tidemark.llm.common import remainder, table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,6 +211,113 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"), keep=("page_id", "url"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every source is from the others of its language, and by which terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = """
+WITH texts AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), occurrences AS (
+    SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM texts
+), terms AS (
+    SELECT lang, term, count(*) AS n FROM occurrences GROUP BY ALL HAVING count(DISTINCT r) >= 3
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM occurrences SEMI JOIN terms USING (lang, term) GROUP BY ALL
+), langs AS (
+    SELECT lang, sum(n)::HUGEINT AS lang_total, count(*)::HUGEINT AS kept FROM terms GROUP BY lang
+), groups AS (
+    SELECT g.lang, g.source, coalesce(sum(n), 0)::HUGEINT AS total
+    FROM (SELECT DISTINCT lang, source FROM texts) g LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source GROUP BY ALL
+), shares AS (
+    SELECT g.lang, g.source, t.term, coalesce(c.n, 0) AS n,
+           1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (total + kept) AS p,
+           1 + 1000000000::HUGEINT * (t.n + 1) // (lang_total + kept) AS q
+    FROM groups g JOIN terms t ON t.lang = g.lang JOIN langs l ON l.lang = g.lang
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = t.term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(v, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+        SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS v
+        FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+    ) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), above AS (
+    SELECT lang, source, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM above
+)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of the rebuilt conversations, one row for each node."""
+    turns = conversations.numbered(table(spark, sf_dir, "conversations"))
+    return conversations.trie(conversations.rebuilt(turns))
+
+
+# The cyclic redundancy check is worked out bit by bit.
+OP12_SQL = """
+WITH ids AS (
+    SELECT DISTINCT conv_id, encode(conv_id::VARCHAR) AS b FROM conversations WHERE conv_id IS NOT NULL
+), bits AS (
+    SELECT conv_id, list_transform(range(0, 8 * octet_length(b)),
+        lambda i: (('0x' || substr(hex(b), (2 * (i // 8) + 1)::INTEGER, 2))::BIGINT >> (i % 8)) & 1) AS bits FROM ids
+), asked AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS first_id, xor(list_reduce(list_prepend(4294967295, bits),
+        lambda c, x: xor(c >> 1, CASE WHEN (xor(c, x) & 1) = 1 THEN 3988292384 ELSE 0 END)), 4294967295) % 4 AS h FROM bits
+), numbered AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n, role, text
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+), turns AS (
+    SELECT a.conv_id, 0 AS part, n, role, text FROM asked a JOIN numbered t ON t.conv_id = first_id AND n <= h
+    UNION ALL
+    SELECT conv_id, 1, n, role, text FROM asked JOIN numbered USING (conv_id) WHERE n > h
+), rebuilt AS (
+    SELECT conv_id, list({'role': role, 'text': text} ORDER BY part, n) FILTER (role IS NOT NULL) AS turns
+    FROM ids LEFT JOIN turns USING (conv_id) GROUP BY conv_id
+), prefixes AS (
+    SELECT conv_id, len(coalesce(turns, [])) AS size, d, sha256(list_slice(turns, 1, d)::VARCHAR) AS key,
+           sha256(list_slice(turns, 1, d - 1)::VARCHAR) AS parent, turns[d].text AS text
+    FROM (SELECT conv_id, coalesce(turns, []) AS turns, unnest(range(0, len(coalesce(turns, [])) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT d, key, min(conv_id) AS conv_id, CASE WHEN d > 0 THEN any_value(parent) END AS parent, count(*) AS n_convs,
+           (count(*) - 1) * coalesce(len(regexp_extract_all(any_value(text), '[^\\x20\\x09-\\x0D]+')), 0) AS saving,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = size), '')) AS ends_sha256
+    FROM prefixes GROUP BY d, key
+), above AS (
+    SELECT DISTINCT a.d, a.key, b.d AS below_d, b.key AS below
+    FROM prefixes a JOIN prefixes b ON a.conv_id = b.conv_id AND a.d <= b.d
+), children AS (
+    SELECT d - 1 AS d, parent AS key, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+), totals AS (
+    SELECT a.d, a.key, count(*) FILTER (c.n IS NULL) AS n_leaves, sum(b.saving)::BIGINT AS saved_tokens
+    FROM above a JOIN nodes b ON b.d = below_d AND b.key = below LEFT JOIN children c ON c.d = below_d AND c.key = below GROUP BY ALL
+)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n JOIN totals t ON t.d = n.d AND t.key = n.key LEFT JOIN children c ON c.d = n.d AND c.key = n.key
+LEFT JOIN nodes p ON p.d = n.d - 1 AND p.key = n.parent
+"""
+
+
+TOKEN_LIMIT = 512
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether the tokens are over a limit."""
+    counted = tokencounts.prefix_counts(
+        table(spark, sf_dir, "documents").withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")),
+        vocabulary("byte_bpe_50k.json"),
+        keep=("doc_id", "n_bytes"),
+    )
+    n_tokens = tokencounts.tokens().cast("long")
+    return counted.select("doc_id", "n_bytes", n_tokens.alias("n_tokens"), (n_tokens > TOKEN_LIMIT).alias("over_limit"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_exact_top_k": op2_exact_top_k,
@@ -208,6 +329,9 @@ QUERIES: dict[str, Query] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_sharding": op9_sharding,
     "op10_html_extraction": op10_html_extraction,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -215,4 +339,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": OP3_SQL.replace("<STOP_WORDS>", str(list(quality.STOP_WORDS))).replace("<RULES>", rules_as_sql()),
     "op7_line_dedup": OP7_SQL.replace("<CHARS>", "20").replace("<SITES>", "5"),
     "op9_sharding": OP9_SQL.replace("<LIMIT>", str(SHARD_BYTES)),
+    "op11_source_divergence": OP11_SQL,
+    "op12_conversation_trie": OP12_SQL,
 }
