@@ -27,13 +27,14 @@ from tidemark.llm.common import cut
 
 SHARES = 1_000_000_000
 
-# ASCII letters and everything beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+# ASCII letters, lower-cased, and everything beyond ASCII, whose bytes are all above it.
+TERM = rb"[a-z\x80-\xFF]+"
 
 # Entries of counts that a task holds before it hands them on, and characters that it
 # takes from a text at a time.
-COUNTS_HELD = 200_000
+COUNTS_HELD = 500_000
+# Fewer occurrences than 2 to this are in what a task holds, which is far below a terabyte.
+DOCUMENT_BITS = 40
 # Corrections that a task works out together.
 CORRECTIONS_AT_A_TIME = 50_000
 
@@ -41,7 +42,8 @@ CORRECTIONS_AT_A_TIME = 50_000
 def term_counts(docs: DataFrame) -> DataFrame:
     """lang, source, term, n, docs: occurrences of terms, and documents that have them.
 
-    Counted in the task that reads the texts and added up afterwards. Every group has a
+    Counted in the task that reads the texts, so that a term is dealt out once for each
+    of its sources and tasks, and added up where all of the term meet. Every group has a
     row of NULL term besides. NULL text, lang and source are empty.
     """
     inputs = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
@@ -50,27 +52,29 @@ def term_counts(docs: DataFrame) -> DataFrame:
         from collections import Counter
 
         terms = re.compile(TERM)
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        # Occurrences of a term and, above DOCUMENT_BITS, the documents that have it.
+        held: dict[tuple[str, str], dict[bytes, int]] = {}
         size = 0
 
         def made() -> pa.RecordBatch:
-            rows = [(lang, source, None, 0, 0) for lang, source in held]
-            rows += [(*group, t, n, docs[t]) for group, (total, docs) in held.items() for t, n in total.items()]
-            lang, source, term, n, docs = zip(*rows)
-            texts = [pa.array(c, pa.string()) for c in (lang, source, term)]
+            sizes = [len(found) + 1 for found in held.values()]
+            lang, source = (pa.array(np.repeat(np.array(side, object), sizes), pa.string()) for side in zip(*held))
+            term = pa.array([t for found in held.values() for t in (None, *found)], pa.binary()).cast(pa.string())
+            both = np.array([n for found in held.values() for n in (0, *found.values())], np.int64)
+            n, docs = both & ((1 << DOCUMENT_BITS) - 1), both >> DOCUMENT_BITS
             return pa.RecordBatch.from_arrays(
-                [*texts, pa.array(n, pa.int64()), pa.array(docs, pa.int64())], names=["lang", "source", "term", "n", "docs"]
+                [lang, source, term, pa.array(n), pa.array(docs)], names=["lang", "source", "term", "n", "docs"]
             )
 
         for batch in batches:
             lang, source, texts = batch.columns
+            texts = texts.cast(pa.binary())
             for row in range(batch.num_rows):
-                total, docs = held.setdefault((lang[row].as_py(), source[row].as_py()), (Counter(), Counter()))
-                size -= len(total)
-                found = Counter(terms.findall(texts[row].as_py().translate(LOWER)))
-                total.update(found)
-                docs.update(found.keys())
-                size += len(total)
+                known = held.setdefault((lang[row].as_py(), source[row].as_py()), {})
+                size -= len(known)
+                for t, n in Counter(terms.findall(texts[row].as_py().lower())).items():
+                    known[t] = known.get(t, 0) + n + (1 << DOCUMENT_BITS)
+                size += len(known)
                 if size >= COUNTS_HELD:
                     yield made()
                     held, size = {}, 0
@@ -78,7 +82,8 @@ def term_counts(docs: DataFrame) -> DataFrame:
             yield made()
 
     partial = docs.select(*inputs).mapInArrow(run, "lang string, source string, term string, n long, docs long")
-    return partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    met = partial.repartition("lang", "term")
+    return met.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
@@ -215,22 +220,24 @@ def audit(docs: DataFrame, least_docs: int = 3, terms_shown: int = 200) -> DataF
     documents count each. A language without kept terms has distances of 0. Equal
     values rank by item, in order of UTF-8 bytes. No documents, no rows.
     """
-    counts = cut(term_counts(docs))
-    by_term = counts.filter(F.col("term").isNotNull()).groupBy("lang", "term").agg(
+    by_term = term_counts(docs).groupBy("lang", "term").agg(
         F.sum("docs").alias("docs"),
         F.sum("n").alias("lang_n"),
         F.collect_list(F.struct("source", "n")).alias("found"),
     )
-    kept = cut(by_term.filter(F.col("docs") >= least_docs).select("lang", "term", "lang_n", F.explode("found").alias("e")).select("lang", "term", "lang_n", "e.source", "e.n"))
+    # The terms that count, and for each language one row of NULL term with all its sources.
+    by_term = cut(by_term.filter(F.col("term").isNull() | (F.col("docs") >= least_docs)).drop("docs"))
+    terms_kept = by_term.filter(F.col("term").isNotNull())
+    kept = terms_kept.select("lang", "term", "lang_n", F.inline("found").alias("source", "n"))
 
     # One row for each group: its order in the language, its occurrences, the kept terms.
     sizes = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    langs = by_term.filter(F.col("docs") >= least_docs).groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_n").alias("lang_total"))
+    langs = terms_kept.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_n").alias("lang_total"))
     place = Window.partitionBy("lang").orderBy("source")
     zero = F.lit(0).cast("long")
     groups = (
-        counts.filter(F.col("term").isNull())
-        .select("lang", "source")
+        by_term.filter(F.col("term").isNull())
+        .select("lang", F.explode("found.source").alias("source"))
         .join(sizes, ["lang", "source"], "left")
         .join(langs, "lang", "left")
         .select("lang", "source", *(F.coalesce(c, zero).alias(c) for c in ("total", "kept", "lang_total")), F.row_number().over(place).alias("rank"))
