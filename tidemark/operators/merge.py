@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from tidemark.specs import SpecError
 
 _PRESENT = "_in_batch"
+# Which of several batches a row is of, and the value of a column that a batch has.
+_SET, _VALUE = "_column_set", "_value"
 
 
 class DuplicateKeys(ValueError):
@@ -94,6 +96,41 @@ def one_per_key(
     return rows if rest is None else rows.unionByName(rest.select(*_cols(rows.columns)))
 
 
+def last_present_per_key(
+    batches: Sequence[DataFrame],
+    keys: Sequence[str],
+    order: Sequence[str],
+    on_duplicate: str = "last",
+) -> DataFrame:
+    """Batches of different columns as one row per key, each column with its last value.
+
+    Only rows of batches that have a column count for it, NULLs of theirs included, so the
+    result is that of merging row after row in order. A column is a struct of its value,
+    or NULL where no row of the key has it. With ``on_duplicate="error"`` a key may occur
+    once in each batch. Rows with a NULL key stay as they are.
+    """
+    for batch in batches:
+        _require_keys(keys, batch)
+    every = list(dict.fromkeys(c for b in batches for c in b.columns if c not in order))
+    values = [c for c in every if c not in keys]
+    marked = [b.withColumn(_SET, F.lit(i)) for i, b in enumerate(batches)]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
+    if on_duplicate == "error":
+        require_unique(rows, [*keys, _SET])
+    has = {c: F.col(_SET).isin([i for i, b in enumerate(batches) if c in b.columns]) for c in values}
+    whole, rest = _split_null_keys(rows, keys)
+    place = F.struct(*_cols(order))
+    last = [
+        F.max_by(F.struct(F.col(f"`{c}`").alias(_VALUE)), F.when(has[c], place)).alias(c) for c in values
+    ]
+    grouped = whole.groupBy(*_cols(keys))
+    found = grouped.agg(*last) if last else whole.select(*_cols(keys)).distinct()
+    if rest is None:
+        return found
+    as_is = [F.when(has[c], F.struct(F.col(f"`{c}`").alias(_VALUE))).alias(c) for c in values]
+    return found.unionByName(rest.select(*_cols(keys), *as_is))
+
+
 def insert(target: DataFrame, batch: DataFrame) -> DataFrame:
     """Append; columns the batch lacks are NULL."""
     unknown = [c for c in batch.columns if c not in target.columns]
@@ -129,6 +166,33 @@ def upsert_unique(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> Da
     return _merge(target, *_split_null_keys(rows, keys), keys)
 
 
+def upsert_present(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Merge rows of ``last_present_per_key``; a column that a key lacks keeps its value."""
+    unknown = [c for c in rows.columns if c not in target.columns]
+    if unknown:
+        raise SpecError(f"columns not in the target: {', '.join(unknown)}")
+    rows, keyless_rows = _split_null_keys(rows, keys)
+    keyed, keyless = _split_null_keys(target, keys)
+    values = [c for c in rows.columns if c not in keys]
+
+    def plain(df: DataFrame) -> DataFrame:
+        return df.select(*_cols(keys), *[F.col(f"`{c}`.{_VALUE}").alias(c) for c in values])
+
+    t, b = keyed.alias("t"), rows.alias("b")
+    same = [F.col(f"t.`{k}`") == F.col(f"b.`{k}`") for k in keys]
+    columns = [
+        F.when(F.col(f"b.`{c}`").isNotNull(), F.col(f"b.`{c}`.{_VALUE}")).otherwise(F.col(f"t.`{c}`")).alias(c)
+        if c in values
+        else F.col(f"t.`{c}`")
+        for c in target.columns
+    ]
+    updated = t.join(b, same, "left").select(*columns)
+    merged = insert(updated, plain(_new_rows(keyed, rows, keys)))
+    if keyless is not None:
+        merged = merged.unionByName(keyless)
+    return merged if keyless_rows is None else insert(merged, plain(keyless_rows))
+
+
 def _merge(
     target: DataFrame, rows: DataFrame, keyless_rows: DataFrame | None, keys: Sequence[str]
 ) -> DataFrame:

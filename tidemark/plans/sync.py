@@ -21,6 +21,7 @@ from tidemark.sinks.ledger import Intent, Ledger, utc_now
 from tidemark.sinks.tables import append_table
 from tidemark.sources.files import apply_hadoop_options, delete_except
 from tidemark.sources.tables import MissingTable, Source, project, resolve_tables
+from tidemark.sources.zoned import ZonedSource
 from tidemark.specs import SyncSpec, TableSpec, check_incremental
 
 
@@ -187,15 +188,22 @@ class Sync:
             return None
         return saved
 
+    def _narrowed(self, df: DataFrame, spec: TableSpec, lo: Position | None, hi: Position | None) -> DataFrame:
+        """The table, or the part of its files that can have rows of the range."""
+        if spec.watermark is None or not isinstance(self.source, ZonedSource):
+            return df
+        return project(self.source.between(spec, lo, hi), spec.columns)
+
     def _frontier(self, df: DataFrame, spec: TableSpec, lo: Position | None) -> Frontier:
         if self.relational is None:
-            return increments.frontier(df, spec, lo)
+            return increments.frontier(self._narrowed(df, spec, lo, None), spec, lo)
         return increments.frontier_by_aggregates(self.relational(spec), spec, lo)
 
     def _write(self, df: DataFrame, spec: TableSpec, intent: Intent) -> SyncOutcome:
         """Write an intent's range, then save its end; a replay writes the same folder."""
         name = spec.qualified_name
         types = self.source_types.get(name, {})
+        df = self._narrowed(df, spec, intent.lo, intent.hi)
         rows = snapshot(df, spec, types, intent.lo, intent.hi)
         if self.spec.format == "iceberg":
             path, count = None, append_table(rows, name, fallback=self.spec.lake_fallback)

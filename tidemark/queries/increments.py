@@ -14,6 +14,7 @@ from tidemark.queries.common import Check, money, table
 from tidemark.session import scratch_dir
 from tidemark.sinks.ledger import Ledger
 from tidemark.sinks.parquet import read_output
+from tidemark.sources.zoned import ZonedSource
 from tidemark.specs import Location, SyncSpec, TableSpec
 
 ORDERS = TableSpec(
@@ -132,6 +133,19 @@ def incremental_sync_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_output(spark, plan.output.uri, ORDERS)
 
 
+def pruned_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in many files, a second lot coming between two runs, by zone map."""
+    orders = table(spark, sf_dir, "orders")
+    root = scratch_dir(spark, "zones")
+    ledger = Ledger(spark, f"{root}/ledger")
+    plan = SyncSpec(output=Location(path=f"{root}/out"), tables=(ORDERS,))
+    middle = increments.after(orders.schema, ORDERS, SAVED_ORDER)
+    for lot in (orders.where(~middle), orders.where(middle)):
+        lot.repartitionByRange(8, "o_orderdate").write.mode("append").parquet(f"{root}/in/orders.parquet")
+        Sync(spark, plan, ZonedSource(spark, f"{root}/in", ledger), ledger).run()
+    return read_output(spark, plan.output.uri, ORDERS)
+
+
 CHECKS: dict[str, Check] = {
     "full_sync_snapshot": (
         full_sync_snapshot,
@@ -232,4 +246,5 @@ CHECKS: dict[str, Check] = {
         """,
     ),
     "incremental_sync_runs": (incremental_sync_runs, "SELECT * FROM orders"),
+    "pruned_increment": (pruned_increment, "SELECT * FROM orders"),
 }

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from tidemark.operators.history import latest, matches_ref
 from tidemark.operators.increments import Position
 from tidemark.sources.files import child_names, path_exists
+from tidemark.specs import TableSpec
 
 # The columns of each log. Files written before a column existed
 # load with NULL there.
@@ -38,6 +39,10 @@ SCHEMAS = {
     "commits": "table_name string, commit_id string, kind string, folders array<string>, "
     "buckets array<int>, keys array<string>, n_buckets int, schema_json string, "
     "committed_at timestamp, seq bigint, op string",
+    "zones": "table_name string, watermark_column string, cursor_column string, uri string, "
+    "length bigint, modified_at timestamp, first_watermark string, first_cursor string, "
+    "last_watermark string, last_cursor string, n_rows bigint, null_keys bigint, "
+    "seq bigint, op string",
 }
 
 
@@ -157,6 +162,12 @@ class Ledger:
         )
         live = commits.join(start, "table_name").where("seq >= start").drop("start")
         self._start_epoch("commits", live)
+        # Of a file only its latest version counts.
+        zones = self.read("zones")
+        file = ("table_name", "watermark_column", "cursor_column", "uri")
+        values = [c for c in zones.columns if c not in file]
+        last = zones.groupBy(*file).agg(F.max_by(F.struct(*values), "seq").alias("last"))
+        self._start_epoch("zones", last.select(*file, "last.*"))
 
     # progress
 
@@ -288,6 +299,21 @@ class Ledger:
         )
         self.mark_files(row)
 
+    # zones
+
+    def zones(self, spec: TableSpec) -> DataFrame:
+        """Zone map of a table for its present key columns, one entry for each file version."""
+        log = self.read("zones").where(
+            (F.col("table_name") == spec.qualified_name)
+            & (F.col("watermark_column") == spec.watermark)
+            & F.col("cursor_column").eqNullSafe(spec.cursor)
+        )
+        return log.dropDuplicates(["uri", "length", "modified_at"])
+
+    def mark_zones(self, spec: TableSpec, entries: DataFrame) -> None:
+        named = {"table_name": spec.qualified_name, "watermark_column": spec.watermark, "cursor_column": spec.cursor, "op": "set"}
+        self.append("zones", entries.withColumns({k: F.lit(v) for k, v in named.items()}))
+
     # runs
 
     def runs(self) -> DataFrame:

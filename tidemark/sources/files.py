@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ast
-import itertools
 import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -386,24 +385,14 @@ def _columns_by_reader(spark: SparkSession, rows: Sequence, file_format: str) ->
         return list(pool.map(columns, rows))
 
 
-def group_by_columns(
-    spark: SparkSession, files: Sequence, file_format: str, keep_order: bool = False
-) -> list[list]:
-    """Split one batch of files into groups of one column set, in first-seen order.
-
-    With ``keep_order`` a group holds neighbours only, so that going through the
-    groups goes through the files in their order.
-    """
+def group_by_columns(spark: SparkSession, files: Sequence, file_format: str) -> list[list]:
+    """Split one batch of files into groups of one column set, in first-seen order."""
     sets = [r["column_set"] for r in files]
     if None in sets:
         sets = _columns_by_reader(spark, files, file_format)
         files = [{**r.asDict(), "column_set": s} for r, s in zip(files, sets)]
-    marked = list(zip(sets, files))
-    if keep_order:
-        runs = itertools.groupby(marked, key=lambda m: m[0])
-        return [[row for _, row in run] for _, run in runs]
     groups: dict[str, list] = {}
-    for columns, row in marked:
+    for columns, row in zip(sets, files):
         groups.setdefault(columns, []).append(row)
     return list(groups.values())
 
