@@ -1,0 +1,93 @@
+"""Files of changing columns merged at once, against merging them one after the other."""
+
+import random
+
+import pytest
+
+from tidemark.operators import merge
+from tidemark.operators.merge import DuplicateKeys
+from tidemark.plans.ingest import Ingest
+from tidemark.sinks.lake import LakeTargets
+from tidemark.sinks.ledger import Ledger
+from tidemark.specs import IngestRoute, IngestSpec, Location
+
+COLUMNS = ("id", "a", "b", "c")
+ORDER = ("file", "row")
+
+
+def one_after_the_other(target, lots):
+    """Rows of the table when every row is merged by itself."""
+    table = {r[0]: dict(zip(COLUMNS, r)) for r in target}
+    keyless = []
+    for columns, rows in lots:
+        for row in rows:
+            values = dict(zip(columns, row))
+            if values["id"] is None:
+                keyless.append(tuple(values.get(c) for c in COLUMNS))
+                continue
+            kept = table.setdefault(values["id"], dict.fromkeys(COLUMNS))
+            kept.update(values)
+    return sorted([*keyless, *(tuple(r.values()) for r in table.values())], key=repr)
+
+
+def frames(spark, lots):
+    """One frame for each column set, as a batch of files is read."""
+    sets = {}
+    for file, (columns, rows) in enumerate(lots):
+        sets.setdefault(columns, []).extend((*row, file, i) for i, row in enumerate(rows))
+    return [
+        spark.createDataFrame(rows, ", ".join(f"{c} int" for c in (*columns, *ORDER))) for columns, rows in sets.items()
+    ]
+
+
+def test_random_lots_end_as_if_merged_row_by_row(spark, rows):
+    rng = random.Random(7)
+    sets = (COLUMNS, ("id", "a"), ("id", "c", "b"), ("id",), ("b", "id"))
+    for _ in range(3):
+        target = [(i, rng.randint(0, 9), None, 1) for i in range(0, 12, 2)]
+        lots = []
+        for _ in range(8):
+            columns = rng.choice(sets)
+            lot = []
+            for _ in range(rng.randint(1, 5)):
+                values = {c: rng.choice([None, rng.randint(10, 99)]) for c in columns}
+                values["id"] = rng.choice([None, *range(12)])
+                lot.append(tuple(values[c] for c in columns))
+            lots.append((columns, lot))
+        table = spark.createDataFrame(target, ", ".join(f"{c} int" for c in COLUMNS))
+        last = merge.last_present_per_key(frames(spark, lots), ("id",), ORDER)
+        assert rows(merge.upsert_present(table, last, ("id",)).select(*COLUMNS)) == one_after_the_other(target, lots)
+
+
+def test_duplicates_of_one_column_set_can_be_refused(spark):
+    apart = [(COLUMNS, [(1, 1, 1, 1)]), (("id", "a"), [(1, 2)])]
+    assert merge.last_present_per_key(frames(spark, apart), ("id",), ORDER, "error").count() == 1
+    with pytest.raises(DuplicateKeys):
+        twice = [*apart, (("id", "a"), [(1, 3)])]
+        merge.last_present_per_key(frames(spark, twice), ("id",), ORDER, "error")
+
+
+def test_alternating_files_make_one_commit(spark, tmp_path):
+    for i in range(6):
+        rows, schema = ([(1, i, None), (i, i, i)], "id int, a int, b int") if i % 2 == 0 else ([(1, 10 * i)], "id int, b int")
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in/t/{i}")
+    ledger = Ledger(spark, f"{tmp_path}/ledger")
+    targets = LakeTargets(spark, f"{tmp_path}/lake", ledger, n_buckets=4)
+    route = IngestRoute("t/**", "t", ("id",), create_if_missing=True)
+    spec = IngestSpec(Location(path=f"{tmp_path}/in"), write_mode="upsert", tables=(route,))
+    done = Ingest(spark, spec, targets, ledger).run()
+    assert (done.files, done.rows) == (6, 9)
+    assert [c["kind"] for c in ledger.commits("public.t")] == ["create", "rewrite"]
+    found = sorted(tuple(r) for r in targets.read("public.t").collect())
+    assert found == [(0, 0, 0), (1, 4, 50), (2, 2, 2), (4, 4, 4)]
+
+
+def test_unknown_columns_of_a_later_set_fail(spark, tmp_path):
+    spark.createDataFrame([(1, 1)], "id int, a int").write.parquet(f"{tmp_path}/in/t/1")
+    spark.createDataFrame([(1, 1)], "id int, z int").write.parquet(f"{tmp_path}/in/t/2")
+    ledger = Ledger(spark, f"{tmp_path}/ledger")
+    targets = LakeTargets(spark, f"{tmp_path}/lake", ledger, n_buckets=4)
+    route = IngestRoute("t/**", "t", ("id",), create_if_missing=True)
+    spec = IngestSpec(Location(path=f"{tmp_path}/in"), write_mode="upsert", tables=(route,))
+    with pytest.raises(ValueError, match="z"):
+        Ingest(spark, spec, targets, ledger).run()

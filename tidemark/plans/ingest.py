@@ -6,6 +6,7 @@ import itertools
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +50,7 @@ class Ingest:
 
     Files are taken per target table, in key order, in batches of bounded
     number; only the names of one batch are on the driver at a time. A batch is
-    one Spark read and one merge per column set, whatever its number of files.
+    one Spark read per column set and one merge, whatever its number of files.
     """
 
     def __init__(
@@ -102,21 +103,22 @@ class Ingest:
     # reading
 
     def _scans(self, chunk: Sequence) -> list[DataFrame]:
-        """The files of a chunk as one scan per column set, in file order."""
+        """The files of a chunk as one scan per column set, in order of their first files."""
         fmt = self.spec.file_format
-        keep_order = self.spec.write_mode == "upsert"
         scans = []
-        for group in sources.group_by_columns(self.spark, chunk, fmt, keep_order):
+        for group in sources.group_by_columns(self.spark, chunk, fmt):
             paths = [r["path"] for r in group]
             if fmt == "parquet":
                 scan = sources.with_row_order(sources.read_files(self.spark, paths, fmt), fmt)
                 scans.append(sources.stored_values(scan, group[0]["column_set"]))
             else:
-                scans.append(self._as_parquet(sources.with_row_order(self._text(paths), fmt)))
+                scans.append(self._as_parquet(self._text(paths)))
         return scans
 
     def _text(self, paths: Sequence[str]) -> DataFrame:
-        return sources.read_csv_text(self.spark, paths, line_breaks=self.spec.csv_line_breaks)
+        scratch = scratch_dir(self.spark, "csv-records")
+        self._scratch.append(scratch)
+        return sources.csv_rows(self.spark, paths, line_breaks=self.spec.csv_line_breaks, scratch=scratch)
 
     def _text_types(self, table: str) -> dict[str, T.DataType]:
         """Types that the cells of all planned files of a table fit, whatever the batches.
@@ -128,7 +130,7 @@ class Ingest:
             rows = self._plan.where(F.col("target_table") == table).orderBy("file_key").toLocalIterator()
             for chunk in _chunks(rows, self.spec.files_per_batch):
                 for group in sources.group_by_columns(self.spark, chunk, self.spec.file_format):
-                    text = self._text([r["path"] for r in group])
+                    text = self._text([r["path"] for r in group]).drop(FILE_PATH, ROW_ORDER)
                     if text.columns:
                         known = sources.combined_fits(known, sources.text_fits(text))
             self._fits[table] = known
@@ -199,7 +201,7 @@ class Ingest:
         self._schemas[name] = schema
 
     def _merge(self, table: str, rows: Iterator) -> tuple[int, int]:
-        """Insert or upsert; every column set of a chunk is a commit of its own."""
+        """Insert or upsert; every chunk is a commit."""
         n_files = n_rows = 0
         for _, same_route in itertools.groupby(rows, key=lambda r: r["route"]):
             for chunk in _chunks(same_route, self.spec.files_per_batch):
@@ -211,28 +213,29 @@ class Ingest:
         return n_files, n_rows
 
     def _merge_chunk(self, name, table, route, chunk, delivery: str | None = None) -> tuple[int, int]:
-        """Merge files into the table `name`; a delivery made before is left alone."""
-        n_files = n_rows = 0
-        for i, scan in enumerate(self._scans(chunk)):
-            commit_id = uuid.uuid4().hex
-            if delivery is not None:
-                commit_id = f"{delivery}#{i}" if i else delivery
-                if self.ledger.is_committed(commit_id):
-                    continue
-            done = self._record([scan], table, chunk, commit_id)
-            if done["files"] == 0:
-                continue
-            self._ensure(name, table, route, scan)
-            batch = self._typed(scan, name)
-            if self.spec.write_mode == "insert":
-                self.targets.insert(name, batch.drop(FILE_PATH, ROW_ORDER), commit_id)
-            else:
-                self.targets.upsert(
-                    name, self._ranked(batch, chunk), route.key_columns, (FILE_RANK, ROW_ORDER),
-                    self.spec.on_duplicate, commit_id,
-                )
-            n_files, n_rows = n_files + done["files"], n_rows + done["rows"]
-        return n_files, n_rows
+        """Merge files into the table `name` in one commit, whatever columns they have.
+
+        A delivery made before is left alone.
+        """
+        commit_id = delivery or uuid.uuid4().hex
+        if delivery is not None and self.ledger.is_committed(commit_id):
+            return 0, 0
+        scans = [s for s in self._scans(chunk) if len(s.columns) > 2]
+        done = self._record(scans, table, chunk, commit_id) if scans else {"files": 0}
+        if done["files"] == 0:
+            return 0, 0
+        self._ensure(name, table, route, scans[0])
+        batches = [self._typed(scan, name) for scan in scans]
+        if self.spec.write_mode == "insert":
+            plain = [b.drop(FILE_PATH, ROW_ORDER) for b in batches]
+            rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), plain)
+            self.targets.insert(name, rows, commit_id)
+        else:
+            self.targets.upsert_all(
+                name, [self._ranked(b, chunk) for b in batches], route.key_columns, (FILE_RANK, ROW_ORDER),
+                self.spec.on_duplicate, commit_id,
+            )
+        return done["files"], done["rows"]
 
     def merge_delivery(self, name: str, keys: tuple[str, ...], files: DataFrame, delivery: str) -> None:
         """Merge listed files of one micro-batch, as a batch run does with its batches."""

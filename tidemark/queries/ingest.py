@@ -17,7 +17,7 @@ from tidemark.session import scratch_dir
 from tidemark.sinks.lake import LakeTargets
 from tidemark.sinks.ledger import Ledger
 from tidemark.sources.files import discover_files as discover
-from tidemark.sources.files import qualify, read_files
+from tidemark.sources.files import qualify, read_csv_text, read_files
 from tidemark.sources.files import rows_per_file as count_rows
 from tidemark.specs import IngestRoute, IngestSpec, Location
 from tidemark.streaming.file_ingest import start_ingest
@@ -158,6 +158,17 @@ def ingest_csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_ingest(spark, root, "public.docs", tables=routes, file_format="csv")
 
 
+def csv_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as one CSV file with line breaks, quotes and empty lines in its cells, read by splits."""
+    root = scratch_dir(spark, "csv-splits")
+    text = F.concat(F.lit('"'), F.col("text"), F.lit('"\n\n,"",\r\n'), F.col("source"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), "lang")
+    writer = docs.coalesce(1).write.option("header", True).option("quote", '"').option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/in")
+    read = read_csv_text(spark, [f"{root}/in"])
+    return read.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+
+
 def ingest_upsert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers, then a later folder of files that raises every balance."""
     root = scratch_dir(spark, "ingest-upsert")
@@ -169,6 +180,29 @@ def ingest_upsert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_ingest(spark, root, "public.customer", tables=routes, write_mode="upsert")
 
 
+def ingest_mixed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in six files of changing columns, merged at once.
+
+    Balances rise twice, names of some are given up in between, and new keys come with
+    keys and segments only.
+    """
+    root = scratch_dir(spark, "ingest-mixed")
+    customers = table(spark, sf_dir, "customer")
+    balance, number = F.col("c_acctbal"), F.col("c_custkey")
+    lots = (
+        customers,
+        customers.select("c_custkey", (balance + 1).alias("c_acctbal")),
+        customers.where(number % 3 == 0).select("c_custkey", F.lit(None).cast("string").alias("c_name"), "c_mktsegment"),
+        customers.where(number % 2 == 0).select("c_custkey", (balance + 2).alias("c_acctbal")),
+        customers.where(number % 6 == 0),
+        customers.select((-1 - number).alias("c_custkey"), F.upper("c_mktsegment").alias("c_mktsegment")),
+    )
+    for i, lot in enumerate(lots):
+        lot.write.parquet(f"{root}/in/customer/{i}")
+    routes = (IngestRoute("customer/*", "customer", ("c_custkey",), True),)
+    return _run_ingest(spark, root, "public.customer", tables=routes, write_mode="upsert")
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of orders merged by a stream that stops when it has caught up."""
     root = scratch_dir(spark, "stream")
@@ -268,11 +302,27 @@ CHECKS: dict[str, Check] = {
         ingest_csv_documents,
         "SELECT doc_id, 'say \"' || text || '\", and' || chr(10) || lang || '\\' AS text, n_chars FROM documents",
     ),
+    "csv_splits": (
+        csv_splits,
+        "SELECT doc_id, '\"' || text || '\"' || chr(10) || chr(10) || ',\"\",' || chr(13) || chr(10) || source AS text, lang FROM documents",
+    ),
     "ingest_upsert_rows": (
         ingest_upsert_rows,
         "SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment "
         "FROM customer",
     ),
+    "ingest_mixed_columns": (
+        ingest_mixed_columns,
+        """
+        SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 6 <> 0 THEN NULL ELSE c_name END AS c_name,
+               c_nationkey,
+               c_acctbal + CASE WHEN c_custkey % 6 = 0 THEN 0 WHEN c_custkey % 2 = 0 THEN 2 ELSE 1 END AS c_acctbal,
+               c_mktsegment
+        FROM customer
+        UNION ALL
+        SELECT -1 - c_custkey, NULL, NULL, NULL, upper(c_mktsegment) FROM customer
+        """,
+    ),
     "stream_ingest": (stream_ingest, "SELECT * FROM orders"),
     "stream_upsert_some_columns": (
         stream_upsert_some_columns,

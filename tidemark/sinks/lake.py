@@ -10,7 +10,7 @@ buckets its batch touches.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,8 @@ from tidemark.sources.tables import MissingTable
 
 BUCKET = "_bucket"
 
+# Turns a table and a batch of unique keys into the table after the batch.
+Merge = Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame]
 
 # Bucket of the rows with a NULL in a key: they never conflict, so upserts only
 # ever add to it.
@@ -191,10 +193,33 @@ class LakeTargets:
         its size is known when Spark picks the join, and its folders say which
         buckets of the target have to be read and written again.
         """
+        rows = merge.one_per_key(batch, keys, order, on_duplicate)
+        self._rewrite(table, rows, keys, merge.upsert_unique, commit_id)
+
+    def upsert_all(
+        self,
+        table: str,
+        batches: Sequence[DataFrame],
+        keys: Sequence[str],
+        order: Sequence[str],
+        on_duplicate: str = "last",
+        commit_id: str | None = None,
+    ) -> None:
+        """Merge batches that have different columns, in one rewrite.
+
+        For each key and column the last value by `order` counts among the rows whose
+        batch has the column; a column that none of them has keeps the table's value.
+        """
+        if len(batches) == 1:
+            return self.upsert(table, batches[0], keys, order, on_duplicate, commit_id)
+        rows = merge.last_present_per_key(batches, keys, order, on_duplicate)
+        self._rewrite(table, rows, keys, merge.upsert_present, commit_id)
+
+    def _rewrite(self, table: str, rows: DataFrame, keys: Sequence[str], merged_with: Merge, commit_id: str | None) -> None:
+        """Stage rows of unique keys, then write the buckets they fall into anew."""
         commits = self._state(table)
         head = commits[0]
         bucketed = head["n_buckets"] and list(head["keys"]) == list(keys)
-        rows = merge.one_per_key(batch, keys, order, on_duplicate)
         staged = self._stage(table, rows, keys, head["n_buckets"] if bucketed else 0)
         staged_path = self._path(table, staged)
         touched = None
@@ -202,7 +227,7 @@ class LakeTargets:
             touched = [b for b in _buckets_in(self.spark, staged_path) if b != KEYLESS]
         reader = self.spark.read.schema(_nullable(rows.schema))
         rows = reader.option("recursiveFileLookup", "true").parquet(staged_path)
-        merged = merge.upsert_unique(self._scan(commits, touched), rows, keys)
+        merged = merged_with(self._scan(commits, touched), rows, keys)
         folder = self._stage(table, merged, head["keys"], head["n_buckets"])
         if bucketed:
             self._commit(table, "rewrite", commit_id, folders=[folder], buckets=touched)

@@ -6,6 +6,7 @@ import ast
 import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from pyspark.sql import types as T
 from tidemark.functions.contracts import exactly
 from tidemark.functions.conversions import from_epoch, wrap_unsigned
 from tidemark.functions.paths import file_key, glob_to_regex
+from tidemark.session import scratch_dir
+from tidemark.sources import csv_splits
 from tidemark.specs import Location, SpecError
 
 FILE_PATH = "_file_path"
@@ -50,6 +53,11 @@ def qualify(spark: SparkSession, path: str) -> str:
     return jvm_path.getFileSystem(conf).makeQualified(jvm_path).toString()
 
 
+def path_of_uri(spark: SparkSession, uri: str) -> str:
+    """Path of a URI as ``_metadata`` shows it, percent escapes undone."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
@@ -166,28 +174,64 @@ def read_files(
     raise SpecError(f"unknown file format {file_format!r}")
 
 
+# How CSV is read, by RFC 4180: quotes are doubled within quotes, ragged lines fail.
+CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
+
+
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a CSV file."""
+    return spark.read.options(header=True, multiLine=True, **CSV_OPTIONS).csv(path).columns
+
+
 def read_csv_text(
     spark: SparkSession,
     paths: Sequence[str],
     names: Sequence[str] | None = None,
     line_breaks: bool = True,
+    scratch: str | None = None,
 ) -> DataFrame:
     """CSV files with one header as text columns, by RFC 4180.
 
     Quotes are doubled within quotes, where line breaks are text. A line with more or
-    fewer cells than the header fails. ``line_breaks`` makes a task of each file; off,
-    large files are split and a quoted line break ends the line.
+    fewer cells than the header fails. See ``csv_rows``.
+    """
+    rows = csv_rows(spark, paths, names, line_breaks, scratch)
+    return rows.drop(FILE_PATH, ROW_ORDER)
+
+
+def csv_rows(
+    spark: SparkSession,
+    paths: Sequence[str],
+    names: Sequence[str] | None = None,
+    line_breaks: bool = True,
+    scratch: str | None = None,
+) -> DataFrame:
+    """``read_csv_text`` with the URI of each row's file and the order of rows in it.
+
+    Large files are split, those with line breaks in quotes too, whose records are put
+    together in `scratch`, a new folder by default. With ``line_breaks`` off no file is
+    looked at for them, and a quoted line break ends the line.
     """
-    reader = (
-        spark.read.option("header", "true")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", str(line_breaks).lower())
-        .option("mode", "FAILFAST")
-    )
     if names is None:
-        names = reader.csv(paths[0]).columns
-    return reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv(list(paths))
+        names = csv_header(spark, paths[0])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    broken, plain = [], list(paths)
+    if line_breaks and names:
+        with_breaks, without = csv_splits.by_line_breaks(spark, paths)
+        if with_breaks:
+            broken, plain = ([path_of_uri(spark, u) for u in uris] for uris in (with_breaks, without))
+    parts = []
+    if plain:
+        reader = spark.read.options(header=True, **CSV_OPTIONS).schema(schema)
+        parts.append(with_row_order(reader.csv(plain), "csv"))
+    if broken:
+        records = csv_splits.csv_records(spark, broken, scratch or scratch_dir(spark, "csv-records"))
+        ddl = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+        cells = F.from_csv("record", ddl, {"multiLine": "true", **CSV_OPTIONS})
+        order = F.struct("block", "row").alias(ROW_ORDER)
+        parsed = records.select(cells.alias("cells"), F.col("uri").alias(FILE_PATH), order)
+        parts.append(parsed.select(*(F.col(f"cells.`{n}`").alias(n) for n in names), FILE_PATH, ROW_ORDER))
+    return reduce(DataFrame.unionByName, parts)
 
 
 _DAY, _CLOCK = r"\d{4}-\d{2}-\d{2}", r"\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?"
@@ -379,7 +423,7 @@ def _columns_by_reader(spark: SparkSession, rows: Sequence, file_format: str) ->
     def columns(row) -> str:
         if file_format == "parquet":
             return repr(footer_columns(spark, row["path"]))
-        return repr(read_csv_text(spark, [row["path"]]).columns)
+        return repr(csv_header(spark, row["path"]))
 
     with ThreadPoolExecutor(max_workers=16) as pool:
         return list(pool.map(columns, rows))
