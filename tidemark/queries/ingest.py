@@ -203,6 +203,22 @@ def ingest_mixed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_ingest(spark, root, "public.customer", tables=routes, write_mode="upsert")
 
 
+def compacted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders upserted in lots that overlap, then only the buckets of most files rewritten."""
+    root = scratch_dir(spark, "compacted")
+    orders = table(spark, sf_dir, "orders")
+    targets = LakeTargets(spark, f"{root}/lake", Ledger(spark, f"{root}/ledger"), n_buckets=8)
+    targets.create("public.orders", orders.schema, ("o_orderkey",))
+    number = F.col("o_orderkey")
+    targets.upsert("public.orders", orders.where(number % 3 != 0), ("o_orderkey",))
+    targets.insert("public.orders", orders.where(number % 3 == 0))
+    targets.upsert("public.orders", orders.where(number % 5 == 0).withColumn("o_orderstatus", F.lit("X")), ("o_orderkey",))
+    targets.insert("public.orders", orders.where(number < 100).withColumn("o_orderkey", F.lit(None).cast("long")))
+    targets.compact_worst("public.orders", files_allowed=1, buckets_at_once=4)
+    targets.vacuum("public.orders")
+    return targets.read("public.orders")
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of orders merged by a stream that stops when it has caught up."""
     root = scratch_dir(spark, "stream")
@@ -323,6 +339,14 @@ CHECKS: dict[str, Check] = {
         SELECT -1 - c_custkey, NULL, NULL, NULL, upper(c_mktsegment) FROM customer
         """,
     ),
+    "compacted_table": (
+        compacted_table,
+        """
+        SELECT o.* REPLACE (CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus) FROM orders o
+        UNION ALL
+        SELECT o.* REPLACE (CAST(NULL AS BIGINT) AS o_orderkey) FROM orders o WHERE o_orderkey < 100
+        """,
+    ),
     "stream_ingest": (stream_ingest, "SELECT * FROM orders"),
     "stream_upsert_some_columns": (
         stream_upsert_some_columns,

@@ -1,10 +1,12 @@
-"""Target tables kept as Parquet folders with a commit log.
+"""Target tables kept as Parquet folders with a commit log and manifests.
 
 Rows go to a new folder first; a row in the ledger then makes the folder part
-of the table. Nothing that is being read is ever overwritten, and a run that
-dies half way leaves folders that no reader looks at. Tables with keys are laid
-out by a hash bucket of the keys, so an upsert reads and rewrites only the
-buckets its batch touches.
+of the table. It names a manifest, the list of all live files with their buckets,
+rows and bytes, so a reader needs the last commit only and lists no folder.
+Nothing that is being read is ever overwritten, and a run that dies half way
+leaves folders that no reader looks at. Tables with keys are laid out by a hash
+bucket of the keys, so an upsert reads and rewrites only the buckets its batch
+touches.
 """
 
 from __future__ import annotations
@@ -16,14 +18,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.paths import file_key
 from tidemark.operators import merge
 from tidemark.session import configure
 from tidemark.sinks.ledger import Ledger, utc_now
-from tidemark.sources.files import child_names, delete_folder
+from tidemark.sources.files import FILE_PATH, child_names, count_by_path, delete_folder, qualify
 from tidemark.sources.tables import MissingTable
 
 BUCKET = "_bucket"
 
+MANIFEST = (
+    T.StructType().add("bucket", T.IntegerType()).add("path", T.StringType()).add("n_rows", T.LongType()).add("bytes", T.LongType())
+)
+
 # Turns a table and a batch of unique keys into the table after the batch.
 Merge = Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame]
 
@@ -48,42 +55,79 @@ class LakeTargets:
     # reading
 
     def exists(self, table: str) -> bool:
-        return bool(self.ledger.commits(table))
-
-    def _state(self, table: str) -> list:
-        commits = self.ledger.commits(table)
-        if not commits:
+        return self.ledger.last_commit(table) is not None
+
+    def _head(self, table: str):
+        """The last commit of a table, which names its manifest; None without a table."""
+        last = self.ledger.last_commit(table)
+        if last is None or last["manifest"] is not None or last["schema_json"] is not None:
+            return last
+        # Written before there were manifests: only its first commit says what the table is.
+        return self.ledger.commits(table)[0]
+
+    def _state(self, table: str):
+        head = self._head(table)
+        if head is None:
             raise MissingTable(f"target table {table} does not exist")
-        return commits
+        return head
 
     def schema(self, table: str) -> T.StructType | None:
         """Schema of a table; None if there is no such table."""
-        commits = self.ledger.commits(table)
-        return T.StructType.fromJson(_json(commits[0]["schema_json"])) if commits else None
+        head = self._head(table)
+        return T.StructType.fromJson(_json(head["schema_json"])) if head else None
+
+    def files(self, table: str) -> DataFrame:
+        """Live files of a table: bucket, path (below the table), n_rows, bytes."""
+        return self._files(self._state(table))
+
+    def _files(self, head) -> DataFrame:
+        if head["manifest"] is not None:
+            return self.spark.read.schema(MANIFEST).parquet(self._path(head["table_name"], head["manifest"]))
+        return self._listed_by_commits(head)
+
+    def _listed_by_commits(self, head) -> DataFrame:
+        """Live files of a table without a manifest, from the folders of its commits."""
+        live = self.spark.createDataFrame([], MANIFEST)
+        for commit in self.ledger.commits(head["table_name"]):
+            live = live.where(~_in_buckets(commit["buckets"])) if commit["kind"] == "rewrite" else live
+            live = live.unionByName(self._written(head, commit["folders"]))
+        return live
+
+    def _written(self, head, folders: Sequence[str]) -> DataFrame:
+        """Files of new folders; rows are counted by their footers."""
+        if not folders:
+            return self.spark.createDataFrame([], MANIFEST)
+        table, schema = head["table_name"], T.StructType.fromJson(_json(head["schema_json"]))
+        base = qualify(self.spark, f"{self.root}/{table}")
+        paths = [self._path(table, f) for f in folders]
+        listing = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+        rows = count_by_path(
+            self.spark.read.schema(schema)
+            .option("recursiveFileLookup", "true")
+            .parquet(*paths)
+            .select(F.col("_metadata.file_path").alias(FILE_PATH))
+        )
+        found = listing.select(F.col("_metadata.file_path").alias(FILE_PATH), "length").join(rows, FILE_PATH)
+        key = file_key(F.col(FILE_PATH), base)
+        bucket = F.regexp_extract(key, f"/{BUCKET}=(-?\\d+)/", 1)
+        return found.select(
+            F.when(bucket != "", bucket.cast("int")).alias("bucket"),
+            key.alias("path"),
+            F.col("rows_ingested").alias("n_rows"),
+            F.col("length").alias("bytes"),
+        )
 
     def read(self, table: str, buckets: Sequence[int] | None = None) -> DataFrame:
-        """Rows of the table, or of some of its buckets: one scan of live folders."""
+        """Rows of the table, or of some of its buckets: one scan of live files."""
         return self._scan(self._state(table), buckets)
 
-    def _scan(self, commits: list, buckets: Sequence[int] | None = None) -> DataFrame:
-        head = commits[0]
+    def _scan(self, head, buckets: Sequence[int] | None = None) -> DataFrame:
+        """Rows of a commit's files, whose names are on the driver as for any scan."""
         schema = T.StructType.fromJson(_json(head["schema_json"]))
-        base = f"{self.root}/{head['table_name']}"
-        if not head["n_buckets"]:
-            paths = [f"{base}/{f}" for c in commits for f in c["folders"]]
-        else:
-            # A rewrite takes over the buckets it touched; others keep theirs and
-            # may grow.
-            live: dict[int, list[str]] = {}
-            for c in commits:
-                if c["kind"] == "rewrite":
-                    for b in c["buckets"]:
-                        live[b] = []
-                for folder in c["folders"]:
-                    for b in _buckets_in(self.spark, f"{base}/{folder}"):
-                        live.setdefault(b, []).append(f"{base}/{folder}/{BUCKET}={b}")
-            wanted = live if buckets is None else [b for b in buckets if b in live]
-            paths = [p for b in wanted for p in live[b]]
+        files = self._files(head)
+        if buckets is not None and head["n_buckets"]:
+            files = files.where(_in_buckets(buckets))
+        paths = sorted(self._path(head["table_name"], r["path"]) for r in files.select("path").collect())
         if not paths:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema)
@@ -107,7 +151,27 @@ class LakeTargets:
     def _path(self, table: str, folder: str) -> str:
         return f"{self.root}/{table}/{folder}"
 
-    def _commit(self, table: str, kind: str, commit_id: str | None = None, **values) -> None:
+    def _commit(
+        self,
+        head,
+        kind: str,
+        commit_id: str | None,
+        folders: Sequence[str],
+        buckets: Sequence[int] = (),
+    ) -> None:
+        """Make folders part of a table, by a manifest of all files that then live.
+
+        An append adds to the files of the commit before, a rewrite takes the place of
+        its buckets, a replacement of all.
+        """
+        table = head["table_name"]
+        live = self._written(head, folders)
+        if kind == "append":
+            live = self._files(head).unionByName(live)
+        elif kind == "rewrite":
+            live = self._files(head).where(~_in_buckets(buckets)).unionByName(live)
+        manifest = f"manifest-{uuid.uuid4().hex}"
+        live.coalesce(1).write.parquet(self._path(table, manifest))
         self.ledger.append_row(
             "commits",
             table_name=table,
@@ -115,66 +179,75 @@ class LakeTargets:
             kind=kind,
             committed_at=utc_now(),
             op="set",
-            **values,
+            folders=list(folders),
+            buckets=list(buckets),
+            keys=list(head["keys"]),
+            n_buckets=head["n_buckets"],
+            schema_json=head["schema_json"],
+            manifest=manifest,
         )
 
     def create(self, table: str, schema: T.StructType, keys: Sequence[str] = ()) -> None:
-        self._commit(
-            table,
-            "create",
-            folders=[],
-            buckets=[],
-            keys=list(keys),
-            n_buckets=self.n_buckets if keys else 0,
-            schema_json=_nullable(schema).json(),
-        )
-
-    def _append(self, commits: list, rows: DataFrame, commit_id: str | None) -> None:
-        head = commits[0]
-        folder = self._stage(head["table_name"], rows, head["keys"], head["n_buckets"])
-        self._commit(head["table_name"], "append", commit_id, folders=[folder], buckets=[])
+        head = {
+            "table_name": table,
+            "keys": keys,
+            "n_buckets": self.n_buckets if keys else 0,
+            "schema_json": _nullable(schema).json(),
+        }
+        self._commit(head, "create", None, [])
 
     def insert(self, table: str, batch: DataFrame, commit_id: str | None = None) -> None:
-        commits = self._state(table)
-        schema = T.StructType.fromJson(_json(commits[0]["schema_json"]))
-        empty = self.spark.createDataFrame([], schema)
-        self._append(commits, merge.insert(empty, batch), commit_id)
+        head = self._state(table)
+        self._commit(head, "append", commit_id, [self._stage_rows(head, batch)])
 
-    def stage(self, table: str, batch: DataFrame) -> str:
-        """Write rows that a later ``replace`` puts in place."""
-        head = self._state(table)[0]
+    def _stage_rows(self, head, batch: DataFrame) -> str:
         schema = T.StructType.fromJson(_json(head["schema_json"]))
         rows = merge.insert(self.spark.createDataFrame([], schema), batch)
-        return self._stage(table, rows, head["keys"], head["n_buckets"])
+        return self._stage(head["table_name"], rows, head["keys"], head["n_buckets"])
+
+    def stage(self, table: str, batch: DataFrame) -> str:
+        """Write rows that a later ``replace`` puts in place."""
+        return self._stage_rows(self._state(table), batch)
 
     def replace(self, table: str, folders: Sequence[str], commit_id: str | None = None) -> None:
         """Make staged folders the whole table."""
-        head = self._state(table)[0]
-        self._commit(
-            table,
-            "replace",
-            commit_id,
-            folders=list(folders),
-            buckets=[],
-            keys=list(head["keys"]),
-            n_buckets=head["n_buckets"],
-            schema_json=head["schema_json"],
-        )
+        self._commit(self._state(table), "replace", commit_id, folders)
 
     def compact(self, table: str) -> None:
-        """Rewrite a table into one folder; its list of commits starts anew.
+        """Rewrite a table into one folder. No load may run beside; `vacuum` after."""
+        self.replace(table, [self.stage(table, self.read(table))])
+
+    def compact_worst(self, table: str, files_allowed: int = 8, buckets_at_once: int = 64) -> int:
+        """Rewrite the buckets of most files, if these are more than allowed; their number.
 
-        Every append and upsert adds a folder and a commit, which readers list. Call
-        this from time to time, and `vacuum` after; no load may run beside.
+        The manifest tells which, so nothing is listed, and other buckets are neither
+        read nor written. A table without buckets is rewritten whole. No load may run
+        beside; `vacuum` after.
         """
-        self.replace(table, [self.stage(table, self.read(table))])
+        head = self._state(table)
+        many = self._files(head).groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > files_allowed)
+        worst = [r["bucket"] for r in many.orderBy(F.desc("n"), "bucket").limit(buckets_at_once).collect()]
+        if not worst:
+            return 0
+        if head["n_buckets"]:
+            folder = self._stage_rows(head, self._scan(head, worst))
+            self._commit(head, "rewrite", None, [folder], worst)
+        else:
+            self.compact(table)
+        return len(worst)
 
     def vacuum(self, table: str) -> int:
-        """Delete folders that no live commit names; their number. No load may run beside."""
-        live = {folder for c in self._state(table) for folder in c["folders"]}
+        """Delete folders without a live file; their number. No load may run beside.
+
+        Manifests but the last go too.
+        """
+        head = self._state(table)
+        folder = F.split_part("path", F.lit("/"), F.lit(1))
+        live = {r["folder"] for r in self._files(head).select(folder.alias("folder")).distinct().collect()}
         names = child_names(self.spark, f"{self.root}/{table}")
         dead = [n for n in names if n.startswith("data-") and n not in live]
-        for name in dead:
+        old = [n for n in names if n.startswith("manifest-") and head["manifest"] is not None and n != head["manifest"]]
+        for name in (*dead, *old):
             delete_folder(self.spark, self._path(table, name))
         return len(dead)
 
@@ -217,8 +290,7 @@ class LakeTargets:
 
     def _rewrite(self, table: str, rows: DataFrame, keys: Sequence[str], merged_with: Merge, commit_id: str | None) -> None:
         """Stage rows of unique keys, then write the buckets they fall into anew."""
-        commits = self._state(table)
-        head = commits[0]
+        head = self._state(table)
         bucketed = head["n_buckets"] and list(head["keys"]) == list(keys)
         staged = self._stage(table, rows, keys, head["n_buckets"] if bucketed else 0)
         staged_path = self._path(table, staged)
@@ -227,12 +299,12 @@ class LakeTargets:
             touched = [b for b in _buckets_in(self.spark, staged_path) if b != KEYLESS]
         reader = self.spark.read.schema(_nullable(rows.schema))
         rows = reader.option("recursiveFileLookup", "true").parquet(staged_path)
-        merged = merged_with(self._scan(commits, touched), rows, keys)
+        merged = merged_with(self._scan(head, touched), rows, keys)
         folder = self._stage(table, merged, head["keys"], head["n_buckets"])
         if bucketed:
-            self._commit(table, "rewrite", commit_id, folders=[folder], buckets=touched)
+            self._commit(head, "rewrite", commit_id, [folder], touched)
         else:
-            self.replace(table, [folder], commit_id)
+            self._commit(head, "replace", commit_id, [folder])
         delete_folder(self.spark, staged_path)
 
 
@@ -247,6 +319,11 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema])
 
 
+def _in_buckets(buckets: Sequence[int]) -> Column:
+    """Whether a file is in one of the buckets; files without a bucket are in none."""
+    return F.coalesce(F.col("bucket").isin(list(buckets)), F.lit(False))
+
+
 def _buckets_in(spark: SparkSession, path: str) -> list[int]:
     prefix = f"{BUCKET}="
     return [int(n[len(prefix):]) for n in child_names(spark, path) if n.startswith(prefix)]

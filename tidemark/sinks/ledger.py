@@ -38,7 +38,7 @@ SCHEMAS = {
     "rows bigint, seq bigint, op string",
     "commits": "table_name string, commit_id string, kind string, folders array<string>, "
     "buckets array<int>, keys array<string>, n_buckets int, schema_json string, "
-    "committed_at timestamp, seq bigint, op string",
+    "committed_at timestamp, seq bigint, op string, manifest string",
     "zones": "table_name string, watermark_column string, cursor_column string, uri string, "
     "length bigint, modified_at timestamp, first_watermark string, first_cursor string, "
     "last_watermark string, last_cursor string, n_rows bigint, null_keys bigint, "
@@ -354,6 +354,10 @@ class Ledger:
 
     # commits
 
+    def last_commit(self, table: str):
+        """The last commit of a target table, or None."""
+        return self._last("commits", table)
+
     def commits(self, table: str) -> list:
         """Commits of one target table in order, from its last replacement on."""
         found = self.read("commits").where(F.col("table_name") == table)
