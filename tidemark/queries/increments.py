@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.literals import fits, parse_as
-from tidemark.operators import increments
+from tidemark.operators import increments, splits
 from tidemark.operators.increments import Position
 from tidemark.plans.sync import Sync, snapshot
 from tidemark.queries.common import Check, money, table
@@ -146,6 +148,54 @@ def pruned_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_output(spark, plan.output.uri, ORDERS)
 
 
+# Ranges that a table is cut into.
+PARTS = 16
+
+
+def split_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of equal width of two tables with their exact rows, one key with NULLs."""
+    plans = []
+    for name, column in (("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("events", "user_id")):
+        key = F.col(column)
+        rows = table(spark, sf_dir, name).select((F.when(key % 7 != 0, key) if name == "events" else key).alias(column))
+        found = splits.ranges_of_equal_width(rows, column, PARTS)
+        plans.append(splits.rows_per_range(rows, found).select(F.lit(name).alias("table_name"), "*"))
+    return reduce(DataFrame.unionByName, plans)
+
+
+def split_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of equal depth: all rows once, and none with over an eighth more than its share."""
+    plans = []
+    for name, column in (("orders", "o_orderkey"), ("lineitem", "l_shipdate"), ("lineitem", "l_orderkey")):
+        rows = table(spark, sf_dir, name).select(column)
+        counted = splits.rows_per_range(rows, splits.ranges_of_equal_depth(rows, column, PARTS))
+        total = F.sum("n_rows")
+        even = F.max("n_rows") * PARTS * 8 <= total * 9
+        plans.append(counted.agg(total.alias("rows"), even.alias("even")).select(F.lit(name).alias("table_name"), F.lit(column).alias("column"), "*"))
+    return reduce(DataFrame.unionByName, plans)
+
+
+def _widths(name: str, value: str) -> str:
+    """Ranges between the distinct bounds of equal width, counted one by one."""
+    return f"""
+        SELECT '{name}' AS table_name, part::INTEGER AS part, lo::VARCHAR AS lower_bound, hi::VARCHAR AS upper_bound,
+               count(v) FILTER ((lo IS NULL OR v >= lo) AND (hi IS NULL OR v < hi)) AS n_rows
+        FROM (
+            SELECT row_number() OVER (ORDER BY lo NULLS FIRST) - 1 AS part, lo, lead(lo) OVER (ORDER BY lo NULLS FIRST) AS hi
+            FROM (
+                SELECT DISTINCT CASE WHEN width * i // {PARTS} > 0 THEN least + width * i // {PARTS} END AS lo
+                FROM (SELECT min({value}) AS least, max({value}) - min({value}) + 1 AS width FROM {name}), range({PARTS}) t(i)
+            )
+        ), (SELECT {value} AS v FROM {name})
+        GROUP BY ALL
+        UNION ALL
+        SELECT '{name}', (
+            SELECT count(DISTINCT width * i // {PARTS})
+            FROM (SELECT max({value}) - min({value}) + 1 AS width FROM {name}), range({PARTS}) t(i)
+        )::INTEGER, NULL, NULL, count(*) FILTER ({value} IS NULL) FROM {name}
+    """
+
+
 CHECKS: dict[str, Check] = {
     "full_sync_snapshot": (
         full_sync_snapshot,
@@ -246,5 +296,24 @@ CHECKS: dict[str, Check] = {
         """,
     ),
     "incremental_sync_runs": (incremental_sync_runs, "SELECT * FROM orders"),
+    "split_plan": (
+        split_plan,
+        " UNION ALL ".join(
+            _widths(*t)
+            for t in (
+                ("orders", "o_orderkey"),
+                ("lineitem", "l_orderkey"),
+                ("events", "CASE WHEN user_id % 7 <> 0 THEN user_id END"),
+            )
+        ),
+    ),
+    "split_depths": (
+        split_depths,
+        """
+        SELECT 'orders' AS table_name, 'o_orderkey' AS "column", count(*) AS rows, true AS even FROM orders
+        UNION ALL SELECT 'lineitem', 'l_shipdate', count(*), true FROM lineitem
+        UNION ALL SELECT 'lineitem', 'l_orderkey', count(*), true FROM lineitem
+        """,
+    ),
     "pruned_increment": (pruned_increment, "SELECT * FROM orders"),
 }

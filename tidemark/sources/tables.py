@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.contracts import source_type, target_type
+from tidemark.operators import splits
 from tidemark.specs import TableSpec
 
 # A source turns a spec into a lazy DataFrame.
@@ -104,6 +105,34 @@ def jdbc_source(
     return scan
 
 
+def jdbc_range_source(
+    spark: SparkSession,
+    url: str,
+    relational: Source,
+    columns: dict[str, str],
+    parts: int = 64,
+    properties: dict[str, str] | None = None,
+) -> Source:
+    """Tables of a relational database, read by ranges of a column that need no bounds by hand.
+
+    ``columns`` names a table's column to cut. ``relational`` is a source that computes
+    the column's least and greatest value itself, as ``jdbc_catalog_source``. Tables
+    without a column are read as ``jdbc_source`` does.
+    """
+    plain = jdbc_source(spark, url, properties)
+
+    def scan(spec: TableSpec) -> DataFrame:
+        column = columns.get(spec.qualified_name)
+        if column is None:
+            return plain(spec)
+        found = splits.ranges_of_equal_width(relational(spec), column, parts)
+        options = jdbc_options(url, spec, properties)
+        name = options.pop("dbtable")
+        return spark.read.jdbc(options.pop("url"), name, predicates=[r.sql() for r in found], properties=options)
+
+    return scan
+
+
 def jdbc_catalog_settings(
     name: str, url: str, properties: dict[str, str] | None = None
 ) -> dict[str, str]:
