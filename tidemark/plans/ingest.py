@@ -18,6 +18,7 @@ from tidemark.operators.routing import route_files
 from tidemark.session import scratch_dir
 from tidemark.sinks.lake import LakeTargets
 from tidemark.sinks.ledger import Ledger
+from tidemark.sources import csv_splits
 from tidemark.sources import files as sources
 from tidemark.sources.files import FILE_PATH, ROW_ORDER
 from tidemark.sources.tables import MissingTable
@@ -59,6 +60,7 @@ class Ingest:
         self.spark, self.spec, self.targets, self.ledger = spark, spec, targets, ledger
         self._schemas: dict[str, T.StructType] = {}
         self._fits: dict[str, dict[str, tuple[bool, ...]]] = {}
+        self._line_breaks: dict[tuple[str, ...], tuple[list[str], list[str]]] = {}
         self._plan: DataFrame | None = None
         self._scratch: list[str] = []
 
@@ -116,9 +118,16 @@ class Ingest:
         return scans
 
     def _text(self, paths: Sequence[str]) -> DataFrame:
+        """Text cells of files; whether they have line breaks in quotes is looked up once."""
         scratch = scratch_dir(self.spark, "csv-records")
         self._scratch.append(scratch)
-        return sources.csv_rows(self.spark, paths, line_breaks=self.spec.csv_line_breaks, scratch=scratch)
+        if not self.spec.csv_line_breaks:
+            return sources.csv_rows(self.spark, paths, line_breaks=False)
+        files = tuple(paths)
+        if files not in self._line_breaks:
+            # Types and rows are read from the same batch, one after the other.
+            self._line_breaks = {files: csv_splits.by_line_breaks(self.spark, paths)}
+        return sources.csv_rows(self.spark, paths, scratch=scratch, known=self._line_breaks[files])
 
     def _text_types(self, table: str) -> dict[str, T.DataType]:
         """Types that the cells of all planned files of a table fit, whatever the batches.

@@ -22,7 +22,7 @@ from tidemark.functions.paths import file_key
 from tidemark.operators import merge
 from tidemark.session import configure
 from tidemark.sinks.ledger import Ledger, utc_now
-from tidemark.sources.files import FILE_PATH, child_names, count_by_path, delete_folder, qualify
+from tidemark.sources.files import FILE_PATH, child_names, delete_folder, qualify
 from tidemark.sources.tables import MissingTable
 
 BUCKET = "_bucket"
@@ -85,9 +85,13 @@ class LakeTargets:
             return self.spark.read.schema(MANIFEST).parquet(self._path(head["table_name"], head["manifest"]))
         return self._listed_by_commits(head)
 
+    def _no_files(self) -> DataFrame:
+        nothing = self.spark.range(0, 0, 1, 1)
+        return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in MANIFEST.fields])
+
     def _listed_by_commits(self, head) -> DataFrame:
         """Live files of a table without a manifest, from the folders of its commits."""
-        live = self.spark.createDataFrame([], MANIFEST)
+        live = self._no_files()
         for commit in self.ledger.commits(head["table_name"]):
             live = live.where(~_in_buckets(commit["buckets"])) if commit["kind"] == "rewrite" else live
             live = live.unionByName(self._written(head, commit["folders"]))
@@ -96,25 +100,21 @@ class LakeTargets:
     def _written(self, head, folders: Sequence[str]) -> DataFrame:
         """Files of new folders; rows are counted by their footers."""
         if not folders:
-            return self.spark.createDataFrame([], MANIFEST)
+            return self._no_files()
         table, schema = head["table_name"], T.StructType.fromJson(_json(head["schema_json"]))
         base = qualify(self.spark, f"{self.root}/{table}")
         paths = [self._path(table, f) for f in folders]
-        listing = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-        rows = count_by_path(
-            self.spark.read.schema(schema)
-            .option("recursiveFileLookup", "true")
-            .parquet(*paths)
-            .select(F.col("_metadata.file_path").alias(FILE_PATH))
-        )
-        found = listing.select(F.col("_metadata.file_path").alias(FILE_PATH), "length").join(rows, FILE_PATH)
+        scan = self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*paths)
+        found = scan.groupBy(
+            F.col("_metadata.file_path").alias(FILE_PATH), F.col("_metadata.file_size").alias("bytes")
+        ).agg(F.count(F.lit(1)).alias("n_rows"))
         key = file_key(F.col(FILE_PATH), base)
         bucket = F.regexp_extract(key, f"/{BUCKET}=(-?\\d+)/", 1)
         return found.select(
             F.when(bucket != "", bucket.cast("int")).alias("bucket"),
             key.alias("path"),
-            F.col("rows_ingested").alias("n_rows"),
-            F.col("length").alias("bytes"),
+            "n_rows",
+            "bytes",
         )
 
     def read(self, table: str, buckets: Sequence[int] | None = None) -> DataFrame:
@@ -170,8 +170,10 @@ class LakeTargets:
             live = self._files(head).unionByName(live)
         elif kind == "rewrite":
             live = self._files(head).where(~_in_buckets(buckets)).unionByName(live)
-        manifest = f"manifest-{uuid.uuid4().hex}"
-        live.coalesce(1).write.parquet(self._path(table, manifest))
+        # A new table has no file and needs no manifest to say so.
+        manifest = f"manifest-{uuid.uuid4().hex}" if kind != "create" else None
+        if manifest is not None:
+            live.coalesce(1).write.parquet(self._path(table, manifest))
         self.ledger.append_row(
             "commits",
             table_name=table,

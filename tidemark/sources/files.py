@@ -205,19 +205,21 @@ def csv_rows(
     names: Sequence[str] | None = None,
     line_breaks: bool = True,
     scratch: str | None = None,
+    known: tuple[list[str], list[str]] | None = None,
 ) -> DataFrame:
     """``read_csv_text`` with the URI of each row's file and the order of rows in it.
 
     Large files are split, those with line breaks in quotes too, whose records are put
     together in `scratch`, a new folder by default. With ``line_breaks`` off no file is
-    looked at for them, and a quoted line break ends the line.
+    looked at for them, and a quoted line break ends the line. `known` saves looking, if
+    ``csv_splits.by_line_breaks`` was called on these files before.
     """
     if names is None:
         names = csv_header(spark, paths[0])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     broken, plain = [], list(paths)
     if line_breaks and names:
-        with_breaks, without = csv_splits.by_line_breaks(spark, paths)
+        with_breaks, without = known or csv_splits.by_line_breaks(spark, paths)
         if with_breaks:
             broken, plain = ([path_of_uri(spark, u) for u in uris] for uris in (with_breaks, without))
     parts = []
