@@ -70,7 +70,7 @@ def test_spread_lines_go_but_for_one(stages):
     sites, first = {}, {}
     for r in stages[2]:
         for line in {x.strip(" \t\x0b\x0c\r") for x in r["text"].split("\n")}:
-            if len(line) >= 20:
+            if line:
                 sites.setdefault(line, set()).add(r["source"])
                 first[line] = min(r["doc_id"], first.get(line, r["doc_id"]))
     want = {}

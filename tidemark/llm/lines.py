@@ -19,14 +19,13 @@ SPACE_CHARACTERS = " \t\x0b\x0c\r"
 
 @dataclass(frozen=True)
 class Settings:
-    """A line of `least_chars` or more that `least_sites` or more have is removed.
+    """A line with a word that `least_sites` or more have is removed.
 
     The sketches have 2 ** `precision` registers. Estimates within `margin` standard
     errors of the threshold, one site at least, are settled by exact counts.
     """
 
     least_sites: int = 5
-    least_chars: int = 20
     precision: int = 10
     margin: float = 5.0
 
@@ -44,16 +43,15 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(trimmed(line))
 
 
-def occurrences(docs: DataFrame, settings: Settings, *columns: Column | str) -> DataFrame:
-    """A row for each line long enough: `columns` and the line's hash `line`."""
+def occurrences(docs: DataFrame, *columns: Column | str) -> DataFrame:
+    """A row for each line with a word: `columns` and the line's hash `line`."""
     split = docs.filter(F.col("text").isNotNull()).select(*columns, F.explode(F.split("text", "\n")).alias("line"))
-    long_enough = F.length(trimmed(F.col("line"))) >= settings.least_chars
-    return split.filter(long_enough).withColumn("line", line_hash(F.col("line")))
+    return split.filter(trimmed(F.col("line")) != "").withColumn("line", line_hash(F.col("line")))
 
 
 def spread_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Hashes of the lines on enough sites, and the least doc_id that has each: line, keeper."""
-    sites = occurrences(docs, settings, "doc_id", F.col("source").cast("string").alias("site"))
+    sites = occurrences(docs, "doc_id", F.col("source").cast("string").alias("site"))
     # Written once: few lines come near the threshold, and three uses follow.
     estimated = cut(
         sites.groupBy("line")
@@ -83,6 +81,8 @@ def clean(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     NULL, and a text of removed lines only becomes empty. `n_chars` follows the text
     where the table has it. Repeated rows are treated alike.
 
+    Lines without a word are never removed.
+
     Rows meet the lines to remove by a hash of their id and text, so only hashes and
     then each text once are shuffled; rows that share the hash by chance can only lose
     spread lines.
@@ -91,7 +91,7 @@ def clean(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     row = F.xxhash64("doc_id", "text")
     spread = spread_lines(docs, settings)
     removed = (
-        occurrences(docs, settings, "doc_id", row.alias("_row"))
+        occurrences(docs, "doc_id", row.alias("_row"))
         .join(spread, "line")
         .filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy("_row")

@@ -142,7 +142,7 @@ WITH occurrences AS (
     SELECT doc_id, source, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line
     FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents)
 ), spread AS (
-    SELECT line, min(doc_id) AS keeper FROM occurrences WHERE length(line) >= <CHARS>
+    SELECT line, min(doc_id) AS keeper FROM occurrences WHERE line <> ''
     GROUP BY line HAVING count(DISTINCT source) >= <SITES>
 ), numbered AS (
     SELECT row_number() OVER () AS r, doc_id, text, n_chars FROM documents
@@ -337,7 +337,7 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_top_k": OP2_SQL,
     "op3_quality_rules": OP3_SQL.replace("<STOP_WORDS>", str(list(quality.STOP_WORDS))).replace("<RULES>", rules_as_sql()),
-    "op7_line_dedup": OP7_SQL.replace("<CHARS>", "20").replace("<SITES>", "5"),
+    "op7_line_dedup": OP7_SQL.replace("<SITES>", "5"),
     "op9_sharding": OP9_SQL.replace("<LIMIT>", str(SHARD_BYTES)),
     "op11_source_divergence": OP11_SQL,
     "op12_conversation_trie": OP12_SQL,
