@@ -45,7 +45,7 @@ class Rule:
 
 # Ratios are of the counts of `counts`, over at least one word and one line.
 RULES = (
-    Rule("length", "n_words", least=50, most=1_000_000),
+    Rule("length", "n_words", least=50),
     Rule("word_length", "word_chars / greatest(n_words, 1)", least=2, most=20),
     Rule("symbols", "n_symbols / greatest(n_words, 1)", most=0.1),
     Rule("stop_words", "n_stop_words / greatest(n_words, 1)", least=0.06),
