@@ -20,6 +20,14 @@ def test_every_language_is_learned(spark):
     assert all(r["lang"] == r["lang_pred"] for r in language.predict(rare, model).collect())
 
 
+def test_languages_of_one_text_without_repeats_are_learned(spark):
+    rows = [("the cat and the dog", "en")] * 20 + [("\u79c1\u306f\u732b", "ja"), ("zq xw", "qq")]
+    found = spark.createDataFrame(rows, "text string, lang string")
+    model = language.fit(found)
+    assert model.languages == ["en", "ja", "qq"]
+    assert all(r["lang"] == r["lang_pred"] for r in language.predict(found, model).collect())
+
+
 def test_the_bound_holds_and_copies_count_once(spark):
     rows = docs(spark).filter("lang is not null and text is not null")
     taken = [tuple(r) for r in language.training_rows(rows, SETTINGS).collect()]

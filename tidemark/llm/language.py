@@ -34,8 +34,8 @@ class Settings:
     `train_rows` is the number of distinct labelled texts that the tables are counted
     from at most, shared out equally among the languages, one at least for each; a
     language's texts of least hash are taken. `words` and `grams` are the entries kept
-    for a language (and n-gram length), the most frequent ones. Words and n-grams
-    seen less than `least` times are left to the backoff.
+    for a language (and n-gram length), the most frequent ones. Where there are more,
+    those seen less than `least` times are left to the backoff.
     """
 
     train_rows: int = 6_000
@@ -149,10 +149,10 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
     most = Window.partitionBy("lang", "n").orderBy(F.desc("seen"), "gram")
     limit = F.when(F.col("n") == 0, settings.words).otherwise(settings.grams)
     kept = (
-        counted.filter(F.col("seen") >= settings.least)
-        .withColumn("place", F.row_number().over(most))
-        .filter(F.col("place") <= max(settings.words, settings.grams))
+        counted.withColumn("place", F.row_number().over(most))
+        .withColumn("entries", F.count("*").over(per_table))
         .filter(F.col("place") <= limit)
+        .filter((F.col("seen") >= settings.least) | (F.col("entries") <= limit))
         .withColumn("total", F.sum("seen").over(per_table))
         .select("lang", "n", "gram", "seen", "total")
         .toArrow()
