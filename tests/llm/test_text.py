@@ -192,6 +192,14 @@ def test_exact_complements_are_found():
     assert sum(p.times for p in packing.plan({40: 5, 12: 5, 8: 5, 4: 5}, 64)) == 5
 
 
+def test_complements_behind_many_that_conflict_are_found():
+    # Pairs of 40 beside a length of 24 that take the last 24 come first.
+    index = packing.Complements({24: 1, 16: 1, 23: 1, 17: 1}, 64)
+    assert index.pair(40) == (24, 16)
+    assert index.pair(40, 24) == (23, 17)
+    assert index.triple(60, 20, 20) is None
+
+
 def test_a_hot_length_is_ranked_in_groups(spark, monkeypatch):
     monkeypatch.setattr(packing, "RANKED_TOGETHER", 50)
     rows = spark.range(1000).selectExpr("id AS doc_id", "if(id < 600, 3L, 1 + id % 7) AS length")

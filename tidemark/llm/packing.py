@@ -164,7 +164,7 @@ class Complements:
         while at < len(entries) and not self.enough(entries[at], total - entries[at]):
             at += 1
         self.pair_at[total] = at
-        for a in entries[at : at + 4]:
+        for a in entries[at:] if others else entries[at : at + 1]:
             if self.enough(a, total - a, *others):
                 return a, total - a
         return None
@@ -174,10 +174,10 @@ class Complements:
         first_usable = None
         while at < len(self.lengths):
             a = self.lengths[at]
-            if a < total and self.counts[a] and (rest := self.pair(total - a, a)):
+            if a < total and self.counts[a] and self.pair(total - a, a):
                 if first_usable is None:
                     first_usable = at
-                if self.enough(a, *rest, *others):
+                if rest := self.pair(total - a, a, *others):
                     break
             at += 1
         else:
