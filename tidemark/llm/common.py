@@ -40,6 +40,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def set_aside(df: DataFrame, working: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with columns named as a working column under free names, and the names to give back."""
+    taken = {c.lower() for c in (*df.columns, *working)}
+    back = {}
+    for column in df.columns:
+        if column.lower() in {c.lower() for c in working}:
+            free = f"_{column}"
+            while free.lower() in taken:
+                free = f"_{free}"
+            taken.add(free.lower())
+            back[free] = column
+    return df.withColumnsRenamed({old: new for new, old in back.items()}), back
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of a column's text modulo `divisor`; -1 for NULL."""
     rest = F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(divisor)

@@ -12,10 +12,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import cut, set_aside
 
 SPACE_CHARACTERS = " \t\x0b\x0c\r"
 
+# Columns that the rows have on the way.
+WORKING = ("_row", "_removed", "_kept", "line", "keeper")
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -87,7 +90,7 @@ def clean(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     then each text once are shuffled; rows that share the hash by chance can only lose
     spread lines.
     """
-    docs = docs.drop("n_removed", "_row", "_removed")
+    docs, back = set_aside(docs.drop("n_removed"), WORKING)
     row = F.xxhash64("doc_id", "text")
     spread = spread_lines(docs, settings)
     removed = (
@@ -110,4 +113,4 @@ def clean(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     if "n_chars" in docs.columns:
         measured = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
         cleaned = cleaned.withColumn("n_chars", F.coalesce(measured, F.col("n_chars")))
-    return cleaned
+    return cleaned.withColumnsRenamed(back)

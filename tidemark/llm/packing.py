@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import ROWS_AT_A_TIME, cut, kept_by_worker
+from tidemark.llm.common import ROWS_AT_A_TIME, cut, kept_by_worker, set_aside
 
 END_OF_DOCUMENT = 0
 
@@ -280,6 +280,10 @@ def places(patterns: list[Pattern]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
+# Columns that the rows have on the way.
+WORKING = ("_group", "_groups", "_rank", "_before", "_n")
+
+
 def pack(lengths: DataFrame, capacity: int, order: tuple[str, ...]) -> DataFrame:
     """Rows of `lengths` with `sequence_id` and `offset`; `length` is 1 to `capacity`.
 
@@ -287,8 +291,10 @@ def pack(lengths: DataFrame, capacity: int, order: tuple[str, ...]) -> DataFrame
     places. Rows of one length are ranked in groups of bounded size by a hash of
     `order`, however many they are. Columns named as an output are replaced.
     """
-    added = ("sequence_id", "offset", "_group", "_rank", "_before")
-    lengths = cut(lengths.drop(*added))
+    lengths, back = set_aside(lengths.drop("sequence_id", "offset"), WORKING)
+    moved = {old: new for new, old in back.items()}
+    order = tuple(moved.get(c, c) for c in order)
+    lengths = cut(lengths)
     histogram = {r["length"]: r["n"] for r in lengths.groupBy("length").agg(F.count("*").alias("n")).collect()}
     if any(not 1 <= x <= capacity for x in histogram):
         raise ValueError(f"lengths must be 1 to {capacity}")
@@ -329,4 +335,4 @@ def pack(lengths: DataFrame, capacity: int, order: tuple[str, ...]) -> DataFrame
             )
 
     schema = T.StructType([*lengths.schema, *T._parse_datatype_string("sequence_id long, offset long").fields])
-    return ranked.mapInArrow(run, schema)
+    return ranked.mapInArrow(run, schema).withColumnsRenamed(back)
