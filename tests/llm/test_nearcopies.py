@@ -60,3 +60,16 @@ def test_a_large_group_becomes_one_without_all_of_its_pairs(spark):
     assert len(found) < len(texts) ** 2 / 4
     sets = {r["shingles"] for r in described.collect()}
     assert len(set(roots([tuple(r) for r in found], sorted(sets)).values())) == 1
+
+
+def test_bands_grow_with_the_sets_and_miss_few():
+    small, large = nearcopies.layout(1000), nearcopies.layout(10_000_000)
+    assert small.shape[1] == nearcopies.LEAST_WIDTH and large.shape[1] == 20 and len(large) > len(small)
+    for bands in (small, large):
+        assert all(len(set(band)) == len(band) for band in bands.tolist())
+        assert nearcopies.missed(bands.shape[1], len(bands)) <= nearcopies.MISSED
+    # Of pairs that differ as at a similarity of 0.8, no more share no band than said.
+    rng = np.random.default_rng(5)
+    differ = rng.random((4000, nearcopies.BITS)) < nearcopies.DIFFERING
+    missed = ~(~differ[:, small]).all(axis=2).any(axis=1)
+    assert missed.mean() <= 4 * nearcopies.MISSED

@@ -2,16 +2,20 @@
 
 A radius of few bits misses most pairs that share four shingles in five: one bit in six
 differs there. So a set of shingles gets several fingerprints under independent seeds,
-their bits are dealt into narrow bands, and sets that agree in a band are a block. Pairs
-of a block go through two of the fingerprints at a wide radius, and what is left is
-verified by the shingles themselves.
-
-At a similarity of 0.8 two sets agree in a band of 14 bits with a chance of 0.10, so in
-one of 73 bands with more than 0.999; the wide radius is 4 standard errors off.
+their bits are dealt into bands, and sets that agree in a band are a block. Pairs of a
+block go through the fingerprints at a wide radius, and what is left is verified by the
+shingles themselves.
+
+Bands get wider as sets get more, so that blocks of unlike sets stay as small, and more,
+so that a pair of a similarity of 0.8 shares none with a chance of MISSED. Pairs that
+join blocks go through two fingerprints, which travel with every band; only sets with
+such a pair bring all of theirs, whose wide radius is four standard errors off and
+closer by far: it lets pairs of 0.69 or more through, where that of two does of 0.47.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,16 +29,25 @@ from tidemark.llm.components import components
 from tidemark.llm.simhash import ROWS_TOGETHER, SEED, fingerprint, joined, links, shingle_hashes
 
 N_SEEDS = 16
-BAND_BITS = 14
-N_BANDS = N_SEEDS * 64 // BAND_BITS
+BITS = N_SEEDS * 64
+
+# Bits of 1024 that differ at a similarity of 0.8: the angle between the sets over pi.
+DIFFERING = math.acos(2 * 0.8 / 1.8) / math.pi
+
+# Unlike sets of a block, on average at most, and the least width of a band.
+UNLIKE = 16
+LEAST_WIDTH = 14
+MISSED = 0.0005
 
-# Bits of 128 that near copies may differ in: 19 do at a similarity of 0.8, with a
-# standard error of 4, and 64 at random.
+# Bits of two fingerprints and of all that near copies may differ in: 19 and 155 do at a
+# similarity of 0.8, with standard errors of 4 and 11, and 64 and 512 at random.
 SKETCH_RADIUS = 36
+WHOLE_RADIUS = 200
 
 LANES = np.uint64(0x0101010101010101)
 # Bytes of a sum that cannot overflow.
 ADDED_AT_A_TIME = 255
+SETS_AT_A_TIME = 128
 
 
 def mixed(hashes: np.ndarray, seed: int) -> np.ndarray:
@@ -61,35 +74,92 @@ def seeded_bits(hashes: np.ndarray) -> np.ndarray:
     return np.concatenate([2 * ones_of(mixed(hashes, seed)) > len(hashes) for seed in range(N_SEEDS)])
 
 
-def described(text: str | None, size: int) -> tuple[int, int, int, list[int]]:
-    """The set's hash, two fingerprints for the wide radius, and the bands' values."""
+def missed(width: int, n_bands: int) -> float:
+    """The chance that a pair of a similarity of 0.8 agrees in none of the bands.
+
+    Bands draw from the same bits, so the chance is taken for each number of bits that
+    may differ, and these by their own chances.
+    """
+    n = np.arange(BITS + 1)
+    logs = np.cumsum(np.log(np.maximum(n, 1)))
+    chances = np.exp(logs[-1] - logs - logs[::-1] + n * math.log(DIFFERING) + (BITS - n) * math.log(1 - DIFFERING))
+    return float((chances * (1 - (1 - n / BITS) ** width) ** n_bands).sum())
+
+
+def layout(n_sets: int) -> np.ndarray:
+    """The bits of each band, for so many sets: one row of places for a band.
+
+    The bits are dealt out in one order after another, so no two bands of an order
+    share a bit.
+    """
+    width = max(LEAST_WIDTH, math.ceil(math.log2(max(1, n_sets) / UNLIKE)))
+    n_bands = 1
+    while missed(width, n_bands) > MISSED:
+        n_bands += max(1, n_bands // 50)
+    rng = np.random.default_rng(SEED)
+    of_order = BITS // width
+    orders = [rng.permutation(BITS)[: of_order * width].reshape(of_order, width) for _ in range(-(-n_bands // of_order))]
+    return np.concatenate(orders)[:n_bands]
+
+
+def described(text: str | None, size: int) -> tuple[int, bytes | None]:
+    """The set's hash and the bits of all fingerprints; none for a set without shingles."""
     hashes = np.unique(shingle_hashes(text, size)) if text else np.zeros(0, np.uint64)
-    bits = seeded_bits(hashes)
-    first, second = np.packbits(bits[:128], bitorder="little").view("<i8").tolist()
-    values = bits[: N_BANDS * BAND_BITS].reshape(N_BANDS, BAND_BITS) @ (1 << np.arange(BAND_BITS))
-    keys = (np.arange(N_BANDS) << BAND_BITS) + values
     whole = int(np.array([xxhash.xxh64_intdigest(hashes.astype("<u8").tobytes(), SEED)], np.uint64).view(np.int64)[0])
-    return whole, first, second, keys.tolist() if len(hashes) else []
+    return whole, np.packbits(seeded_bits(hashes), bitorder="little").tobytes() if len(hashes) else None
 
 
 def descriptions(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, _row, fingerprint (of op6), shingles, first, second and bands of each row."""
+    """doc_id, _row, fingerprint (of op6), shingles and sketch of each row."""
 
     def make():
         return lambda texts: zip(*((fingerprint(t, size), *described(t, size)) for t in texts))
 
-    ddl = "fingerprint long, shingles long, first long, second long, bands array<int>"
-    return map_rows(docs, ["text"], ["doc_id", "_row"], ddl, make)
+    return map_rows(docs, ["text"], ["doc_id", "_row"], "fingerprint long, shingles long, sketch binary", make)
+
 
+def sketches_of(column: pa.Array) -> np.ndarray:
+    """Sketches as rows of 64-bit words, two or all."""
+    words = np.frombuffer(b"".join(column.to_pylist()), "<u8")
+    return words.reshape(len(column), -1)
 
-def sketch_pairs(blocks: np.ndarray, sets: np.ndarray, first: np.ndarray, second: np.ndarray, roots: np.ndarray | None):
+
+def dealt(sets: DataFrame, bands: np.ndarray, whole: bool) -> DataFrame:
+    """A row for each band of each set: `band`, shingles, root where there is one, sketch.
+
+    The sketch is the whole one or its first two fingerprints.
+    """
+    width = bands.shape[1]
+    powers = 1 << np.arange(width, dtype=np.int64)
+    first = np.arange(len(bands), dtype=np.int64) << width
+    keep = [c for c in ("shingles", "root") if c in sets.columns]
+    n_words = N_SEEDS if whole else 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SETS_AT_A_TIME):
+                part = batch.slice(at, SETS_AT_A_TIME)
+                words = sketches_of(part.column("sketch"))
+                bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little").astype(np.int64)
+                values = np.stack([first[i] + bits[:, places] @ powers for i, places in enumerate(bands)], axis=1)
+                row = np.repeat(np.arange(len(words)), len(bands))
+                taken = pa.array(row)
+                short = pa.array([w.tobytes() for w in words[:, :n_words]], pa.binary())
+                columns = [pa.array(values.reshape(-1)), *(part.column(c).take(taken) for c in keep), short.take(taken)]
+                yield pa.RecordBatch.from_arrays(columns, names=["band", *keep, "sketch"])
+
+    ddl = "".join(f", {c} long" for c in keep)
+    return sets.filter("sketch IS NOT NULL").select(*keep, "sketch").mapInArrow(run, f"band long{ddl}, sketch binary")
+
+
+def sketch_pairs(blocks: np.ndarray, sets: np.ndarray, sketches: np.ndarray, radius: int, roots: np.ndarray | None):
     """Pairs of sets of one block within the wide radius.
 
     Without roots, enough pairs to join all that such pairs join; with them, every pair
     of two roots.
     """
     order = np.lexsort((sets, blocks))
-    blocks, sets, first, second = blocks[order], sets[order], first[order], second[order]
+    blocks, sets, sketches = blocks[order], sets[order], sketches[order]
     roots = roots[order] if roots is not None else None
     joins = np.arange(len(sets))
     left = np.arange(len(sets))
@@ -102,7 +172,7 @@ def sketch_pairs(blocks: np.ndarray, sets: np.ndarray, first: np.ndarray, second
         a, b = left, left + step
         other = joins[a] != joins[b] if roots is None else roots[a] != roots[b]
         a, b = a[other], b[other]
-        near = np.bitwise_count(first[a] ^ first[b]).astype(np.int16) + np.bitwise_count(second[a] ^ second[b]) <= SKETCH_RADIUS
+        near = np.bitwise_count(sketches[a] ^ sketches[b]).sum(axis=1, dtype=np.int16) <= radius
         a, b = a[near], b[near]
         if a.size:
             pairs.append((sets[a], sets[b]))
@@ -114,25 +184,29 @@ def sketch_pairs(blocks: np.ndarray, sets: np.ndarray, first: np.ndarray, second
 
 
 def candidates(members: DataFrame, rooted: bool) -> DataFrame:
-    """Distinct pairs a, b of shingle sets that share a `band` and pass the wide radius."""
-    names = ("band", "shingles", "first", "second", *(("root",) if rooted else ()))
+    """Distinct pairs a, b of shingle sets that share a `band` and pass the wide radius.
+
+    With roots, only pairs of two roots, by their whole sketches.
+    """
+    names = ("band", "shingles", *(("root",) if rooted else ()))
+    radius = WHOLE_RADIUS if rooted else SKETCH_RADIUS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(columns: list[np.ndarray]) -> pa.RecordBatch:
-            blocks, sets, first, second, *roots = columns
-            pairs = sketch_pairs(blocks, sets, first.view(np.uint64), second.view(np.uint64), roots[0] if roots else None)
+            sketches, blocks, sets, *roots = columns
+            pairs = sketch_pairs(blocks, sets, sketches, radius, roots[0] if roots else None)
             return pa.RecordBatch.from_arrays([pa.array(p, pa.int64()) for p in pairs], names=["a", "b"])
 
         held: list[list[np.ndarray]] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append([batch.column(c).to_numpy() for c in names])
+            held.append([sketches_of(batch.column("sketch")), *(batch.column(c).to_numpy() for c in names)])
             if sum(len(c[0]) for c in held) < ROWS_TOGETHER:
                 continue
             columns = [np.concatenate(c) for c in zip(*held)]
             # The last block may go on in the next batch.
-            last = np.flatnonzero(columns[0] != columns[0][-1])
+            last = np.flatnonzero(columns[1] != columns[1][-1])
             whole = last[-1] + 1 if last.size else 0
             if whole:
                 yield found([c[:whole] for c in columns])
@@ -140,7 +214,7 @@ def candidates(members: DataFrame, rooted: bool) -> DataFrame:
         if held:
             yield found([np.concatenate(c) for c in zip(*held)])
 
-    together = members.select(*names).repartition("band").sortWithinPartitions("band")
+    together = members.select(*names, "sketch").repartition("band").sortWithinPartitions("band")
     return together.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -179,20 +253,17 @@ def copies(docs: DataFrame, described: DataFrame, size: int, least: float) -> Da
     First pairs that join the blocks are verified, so a large group of near copies
     becomes one root without all of its pairs; then every other pair of two roots is.
     """
-    sets = cut(
-        described.groupBy("shingles").agg(
-            F.min("_row").alias("_row"), F.min("first").alias("first"), F.min("second").alias("second"), F.min("bands").alias("bands")
-        )
-    )
-    members = sets.select("shingles", "first", "second", F.explode("bands").alias("band"))
-    joining = cut(candidates(members, False))
+    sets = cut(described.groupBy("shingles").agg(F.min("_row").alias("_row"), F.min("sketch").alias("sketch")))
+    bands = layout(sets.count())
+    joining = cut(candidates(dealt(sets, bands, False), False))
     suspects = joining.select(F.col("a").alias("shingles")).union(joining.select("b")).distinct()
     hashes = cut(shingle_sets(docs, sets.join(suspects, "shingles").select("shingles", "_row"), size))
     found = cut(verified(joining, hashes, least))
     # Only a set with a joining pair can have another pair.
     roots = components(found).withColumnRenamed("node", "shingles")
-    rooted = members.join(hashes.select("shingles"), "shingles", "left_semi").join(roots, "shingles", "left")
-    rest = candidates(rooted.withColumn("root", F.coalesce("root", "shingles")), True).join(joining, ["a", "b"], "left_anti")
+    rooted = sets.join(suspects, "shingles", "left_semi").join(roots, "shingles", "left")
+    rooted = rooted.select("shingles", F.coalesce("root", "shingles").alias("root"), "sketch")
+    rest = candidates(dealt(rooted, bands, True), True).join(joining, ["a", "b"], "left_anti")
     return found.union(cut(verified(rest, hashes, least)))
 
 
