@@ -107,6 +107,18 @@ def test_components_of_chains_stars_and_loops(spark):
 BOILERPLATE = "This line is on many sites, as it is."
 
 
+def test_frequent_lines_meet_their_rows_either_way(spark, monkeypatch):
+    """The rows are the same whether all, some or none of the spread lines are sent to every task."""
+    rows = [(i, "\n".join(f"line {i * j % 13}" for j in range(1, 9)), f"s{i % 7}") for i in range(80)] + [(None, "line 3", "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = []
+    for most in (20_000, 3, 0):
+        monkeypatch.setattr(lines, "MOST_BROADCAST", most)
+        found.append(sorted(map(str, lines.clean(docs).collect())))
+    assert found[0] == found[1] == found[2]
+    assert any("n_removed=0" not in row for row in found[0])
+
+
 def test_spread_lines_stay_in_the_first_document(spark):
     rows = [(i, f"own words of document {i}\n  {BOILERPLATE} \nshort", f"s{i % 6}", 0) for i in range(12)]
     rows += [(50 + i, "on four sites only, so kept", f"s{i}", 0) for i in range(4)]

@@ -17,7 +17,11 @@ from tidemark.llm.common import cut, set_aside
 SPACE_CHARACTERS = " \t\x0b\x0c\r"
 
 # Columns that the rows have on the way.
-WORKING = ("_row", "_removed", "_kept", "line", "keeper")
+WORKING = ("_row", "_removed", "_kept", "line", "keeper", "_often", "_meets", "_least")
+
+# Spread lines of most occurrences, which meet their rows without a shuffle: 16 bytes each.
+# Each other line has fewer occurrences than this part of all.
+MOST_BROADCAST = 20_000
 
 
 @dataclass(frozen=True)
@@ -53,27 +57,31 @@ def occurrences(docs: DataFrame, *columns: Column | str) -> DataFrame:
 
 
 def spread_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Hashes of the lines on enough sites, and the least doc_id that has each: line, keeper."""
+    """Hashes of the lines on enough sites, the least doc_id that has each, occurrences: line, keeper, n.
+
+    Sites of the lines near the threshold are few, so distinct sites are taken first and
+    no line's rows meet in one task.
+    """
     sites = occurrences(docs, "doc_id", F.col("source").cast("string").alias("site"))
     # Written once: few lines come near the threshold, and three uses follow.
     estimated = cut(
         sites.groupBy("line")
-        .agg(F.hll_sketch_agg("site", F.lit(settings.precision)).alias("sketch"), F.min("doc_id").alias("keeper"))
-        .select("line", "keeper", F.hll_sketch_estimate("sketch").alias("about"))
+        .agg(F.hll_sketch_agg("site", F.lit(settings.precision)).alias("sketch"), F.min("doc_id").alias("keeper"), F.count("*").alias("n"))
+        .select("line", "keeper", "n", F.hll_sketch_estimate("sketch").alias("about"))
         .filter(F.col("about") >= settings.least_sites - settings.near)
     )
     sure = F.col("about") > settings.least_sites + settings.near
     exact = (
         sites.filter(F.col("site").isNotNull())
-        .join(estimated.filter(~sure).select("line"), "line", "left_semi")
         .select("line", "site")
         .distinct()
+        .join(estimated.filter(~sure).select("line"), "line", "left_semi")
         .groupBy("line")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") >= settings.least_sites)
+        .agg(F.count("*").alias("sites"))
+        .filter(F.col("sites") >= settings.least_sites)
     )
-    settled = estimated.filter(~sure).join(exact, "line").select("line", "keeper")
-    return estimated.filter(sure).select("line", "keeper").union(settled)
+    settled = estimated.filter(~sure).join(exact, "line").select("line", "keeper", "n")
+    return estimated.filter(sure).select("line", "keeper", "n").union(settled)
 
 
 def clean(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -88,14 +96,21 @@ def clean(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     Rows meet the lines to remove by a hash of their id and text, so only hashes and
     then each text once are shuffled; rows that share the hash by chance can only lose
-    spread lines.
+    spread lines. The most frequent spread lines are sent to every task.
     """
     docs, back = set_aside(docs.drop("n_removed"), WORKING)
     row = F.xxhash64("doc_id", "text")
-    spread = spread_lines(docs, settings)
+    spread = cut(spread_lines(docs, settings))
+    often = spread.orderBy(F.desc("n"), "line").limit(MOST_BROADCAST).select("line", F.lit(True).alias("_often"), "keeper")
+    known = occurrences(docs, "doc_id", row.alias("_row")).join(F.broadcast(often), "line", "left")
+    # Rows that know their line's keeper are dealt by their own hash, the others by the line.
+    meets = F.when(F.col("_often"), F.col("_row")).otherwise(F.col("line"))
+    rest = spread.select(F.col("line").alias("_meets"), F.col("keeper").alias("_least"))
     removed = (
-        occurrences(docs, "doc_id", row.alias("_row"))
-        .join(spread, "line")
+        known.withColumn("_meets", meets)
+        .join(rest, "_meets", "left")
+        .withColumn("keeper", F.when(F.col("_often"), F.col("keeper")).otherwise(F.col("_least")))
+        .filter(F.col("_often") | F.col("_least").isNotNull())
         .filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy("_row")
         .agg(F.collect_set("line").alias("_removed"))
