@@ -11,6 +11,12 @@ so that a pair of a similarity of 0.8 shares none with a chance of MISSED. Pairs
 join blocks go through two fingerprints, which travel with every band; only sets with
 such a pair bring all of theirs, whose wide radius is four standard errors off and
 closer by far: it lets pairs of 0.69 or more through, where that of two does of 0.47.
+
+What those pairs come from is compared in chunks. Sets that joining pairs connect are a
+cluster, and a cluster is dealt into chunks of bounded number and bytes. Blocks only name
+the pairs of chunks that hold a pair of sets of two groups, so a set travels once for each
+chunk it meets and not for each set; all sets of two such chunks are compared by their
+shingles, and of the links as many stay as join the groups.
 """
 
 from __future__ import annotations
@@ -49,6 +55,13 @@ LANES = np.uint64(0x0101010101010101)
 ADDED_AT_A_TIME = 255
 SETS_AT_A_TIME = 128
 
+# A chunk of sets to compare: about so many, and so many bytes of shingle hashes.
+CHUNK_SETS = 1024
+CHUNK_BYTES = 8 << 20
+# Cells of a matrix of sets by shingles, and pairs of chunks held before repeats go.
+CELLS = 1 << 22
+PAIRS_TOGETHER = 1 << 16
+
 
 def mixed(hashes: np.ndarray, seed: int) -> np.ndarray:
     """Hashes of hashes: one function for each seed."""
@@ -125,14 +138,14 @@ def sketches_of(column: pa.Array) -> np.ndarray:
 
 
 def dealt(sets: DataFrame, bands: np.ndarray, whole: bool) -> DataFrame:
-    """A row for each band of each set: `band`, shingles, root where there is one, sketch.
+    """A row for each band of each set: `band`, shingles, root and chunk where there are, sketch.
 
     The sketch is the whole one or its first two fingerprints.
     """
     width = bands.shape[1]
     powers = 1 << np.arange(width, dtype=np.int64)
     first = np.arange(len(bands), dtype=np.int64) << width
-    keep = [c for c in ("shingles", "root") if c in sets.columns]
+    keep = [c for c in ("shingles", "root", "chunk") if c in sets.columns]
     n_words = N_SEEDS if whole else 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,11 +165,18 @@ def dealt(sets: DataFrame, bands: np.ndarray, whole: bool) -> DataFrame:
     return sets.filter("sketch IS NOT NULL").select(*keep, "sketch").mapInArrow(run, f"band long{ddl}, sketch binary")
 
 
+def distinct_pairs(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Unordered pairs without repeats, the lesser first."""
+    a, b = (np.concatenate(c) for c in zip(*pairs)) if pairs else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+    return both[:, 0], both[:, 1]
+
+
 def sketch_pairs(blocks: np.ndarray, sets: np.ndarray, sketches: np.ndarray, radius: int, roots: np.ndarray | None):
     """Pairs of sets of one block within the wide radius.
 
-    Without roots, enough pairs to join all that such pairs join; with them, every pair
-    of two roots.
+    Without roots, enough pairs to join all that such pairs join. With them `sets` may be
+    the chunks of the sets, and pairs are those that sets of two roots are in.
     """
     order = np.lexsort((sets, blocks))
     blocks, sets, sketches = blocks[order], sets[order], sketches[order]
@@ -164,7 +184,7 @@ def sketch_pairs(blocks: np.ndarray, sets: np.ndarray, sketches: np.ndarray, rad
     joins = np.arange(len(sets))
     left = np.arange(len(sets))
     pairs = []
-    step = 0
+    step = held = 0
     while left.size:
         step += 1
         left = left[left + step < len(sets)]
@@ -174,21 +194,25 @@ def sketch_pairs(blocks: np.ndarray, sets: np.ndarray, sketches: np.ndarray, rad
         a, b = a[other], b[other]
         near = np.bitwise_count(sketches[a] ^ sketches[b]).sum(axis=1, dtype=np.int16) <= radius
         a, b = a[near], b[near]
-        if a.size:
-            pairs.append((sets[a], sets[b]))
-            if roots is None:
-                joins = joined(joins, a, b)
-    if not pairs:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.concatenate(c) for c in zip(*pairs))
+        if not a.size:
+            continue
+        pairs.append((sets[a], sets[b]))
+        held += a.size
+        if roots is None:
+            joins = joined(joins, a, b)
+        elif held > PAIRS_TOGETHER:
+            pairs = [distinct_pairs(pairs)]
+            held = 0
+    return distinct_pairs(pairs)
 
 
 def candidates(members: DataFrame, rooted: bool) -> DataFrame:
     """Distinct pairs a, b of shingle sets that share a `band` and pass the wide radius.
 
-    With roots, only pairs of two roots, by their whole sketches.
+    With roots, the pairs of chunks, or chunks twice, in which such sets of two roots are,
+    by their whole sketches.
     """
-    names = ("band", "shingles", *(("root",) if rooted else ()))
+    names = ("band", *(("chunk", "root") if rooted else ("shingles",)))
     radius = WHOLE_RADIUS if rooted else SKETCH_RADIUS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,11 +271,94 @@ def verified(pairs: DataFrame, hashes: DataFrame, least: float) -> DataFrame:
     return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def chunked(clusters: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The `chunk` of each of the `shingles`: a part of its cluster, about as large as the others."""
+    sized = clusters.join(hashes.select("shingles", F.length("hashes").alias("bytes")), "shingles")
+    parts = F.greatest(F.ceil(F.count("*") / CHUNK_SETS), F.ceil(F.sum("bytes") / CHUNK_BYTES))
+    part = F.pmod(F.xxhash64("shingles"), F.col("parts"))
+    number = sized.groupBy("cluster").agg(parts.alias("parts"))
+    return sized.join(number, "cluster").select("shingles", F.xxhash64("cluster", part).alias("chunk"))
+
+
+def common_shingles(hashes: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each two of the sets have in common, by products of 0-1 matrices.
+
+    The diagonal counts only what some other set has too.
+    """
+    n = len(hashes)
+    values, counts = np.unique(np.concatenate(hashes), return_counts=True)
+    values = values[counts > 1]
+    common = np.zeros((n, n), np.float32)
+    width = max(64, CELLS // n)
+    for first in range(0, len(values), width):
+        some = values[first : first + width]
+        cells = np.zeros((n, len(some)), np.float32)
+        for row, held in enumerate(hashes):
+            part = held[np.searchsorted(held, some[0]) : np.searchsorted(held, some[-1], "right")]
+            at = np.searchsorted(some, part)
+            cells[row, at[some[at] == part]] = 1
+        common += cells @ cells.T
+    return common
+
+
+def chunk_links(sets: np.ndarray, roots: np.ndarray, hashes: list[np.ndarray], least: float):
+    """Links that join all roots which sets of a similarity of `least` or more join."""
+    common = common_shingles(hashes)
+    sizes = np.array([len(h) for h in hashes], np.float64)
+    group = np.unique(roots, return_inverse=True)[1]
+    joins = np.arange(group.max() + 1)
+    a, b = [], []
+    for row in range(len(sets)):
+        shared = common[row].astype(np.float64)
+        others = np.flatnonzero(shared >= least * (sizes[row] + sizes - shared))
+        others = others[joins[group[others]] != joins[group[row]]]
+        # One set of each group that is still apart.
+        others = others[np.unique(joins[group[others]], return_index=True)[1]]
+        a += [sets[row]] * len(others)
+        b += sets[others].tolist()
+        joins = joined(joins, np.full(len(others), group[row]), group[others])
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def chunks_compared(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links a, b from comparing all `sets` of the two chunks of each of the pairs a, b."""
+
+    def found(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        whole = pa.Table.from_batches(parts)
+        ids, roots = (whole.column(c).to_numpy() for c in ("shingles", "root"))
+        hashes = [np.frombuffer(h, "<u8") for h in whole.column("hashes").to_pylist()]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in chunk_links(ids, roots, hashes, least)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy() for c in "ab"], axis=1)
+            edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            starts = [0, *edges.tolist()]
+            for at, end in zip(starts, [*starts[1:], len(keys)]):
+                key = tuple(keys[at].tolist())
+                if held and key != last:
+                    yield found(held)
+                    held = []
+                last = key
+                held.append(batch.slice(at, end - at))
+        if held:
+            yield found(held)
+
+    sides = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("chunk"))
+    rows = sides.join(sets, "chunk").select("a", "b", "shingles", "root", "hashes")
+    return rows.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(run, "a long, b long")
+
+
 def copies(docs: DataFrame, described: DataFrame, size: int, least: float) -> DataFrame:
     """Links a, b that join all shingle sets found to be similar by `least` or more.
 
     First pairs that join the blocks are verified, so a large group of near copies
-    becomes one root without all of its pairs; then every other pair of two roots is.
+    becomes one root without all of its pairs; then chunks in which two roots may have
+    another pair are compared.
     """
     sets = cut(described.groupBy("shingles").agg(F.min("_row").alias("_row"), F.min("sketch").alias("sketch")))
     bands = layout(sets.count())
@@ -260,11 +367,15 @@ def copies(docs: DataFrame, described: DataFrame, size: int, least: float) -> Da
     hashes = cut(shingle_sets(docs, sets.join(suspects, "shingles").select("shingles", "_row"), size))
     found = cut(verified(joining, hashes, least))
     # Only a set with a joining pair can have another pair.
+    clusters = components(joining).select(F.col("node").alias("shingles"), F.col("root").alias("cluster"))
     roots = components(found).withColumnRenamed("node", "shingles")
-    rooted = sets.join(suspects, "shingles", "left_semi").join(roots, "shingles", "left")
-    rooted = rooted.select("shingles", F.coalesce("root", "shingles").alias("root"), "sketch")
-    rest = candidates(dealt(rooted, bands, True), True).join(joining, ["a", "b"], "left_anti")
-    return found.union(cut(verified(rest, hashes, least)))
+    placed = cut(
+        chunked(clusters, hashes)
+        .join(roots, "shingles", "left")
+        .select("shingles", "chunk", F.coalesce("root", "shingles").alias("root"))
+    )
+    pairs = candidates(dealt(placed.join(sets.select("shingles", "sketch"), "shingles"), bands, True), True)
+    return found.union(cut(chunks_compared(cut(pairs), placed.join(hashes, "shingles"), least)))
 
 
 def deduplicated(docs: DataFrame, size: int, radius: int, least: float) -> DataFrame:
