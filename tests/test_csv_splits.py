@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+from tidemark.queries import ingest
 from tidemark.sources import csv_splits
 from tidemark.sources.files import FILE_PATH, ROW_ORDER, csv_rows, read_csv_text
 
@@ -86,3 +87,15 @@ def test_unclosed_quotes_and_ragged_records_fail(spark, tmp_path, split_at, bad)
     split_at(7)
     with pytest.raises(Exception, match="(?i)quote is not closed|malformed"):
         read_csv_text(spark, [str(tmp_path / "a.csv")]).collect()
+
+
+def test_the_query_writes_a_file_a_task(spark, tmp_path, split_at, monkeypatch):
+    """A table of several files is written by as many tasks, none of which has all of it."""
+    monkeypatch.setattr(ingest, "scratch_dir", lambda spark, name: str(tmp_path / name))
+    docs = spark.range(0, 400, 1, 4).selectExpr("id AS doc_id", "concat('text\n', id) AS text", "'en' AS lang", "'web' AS source")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    split_at(4096)
+    found = sorted(tuple(r) for r in ingest.csv_splits(spark, str(tmp_path)).collect())
+    assert found == [(i, f'"text\n{i}"\n\n,"",\r\nweb', "en") for i in range(400)]
+    sizes = [p.stat().st_size for p in (tmp_path / "csv-splits" / "in").glob("part-*")]
+    assert len(sizes) > 1 and max(sizes) < 0.6 * sum(sizes)

@@ -159,11 +159,14 @@ def ingest_csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as one CSV file with line breaks, quotes and empty lines in its cells, read by splits."""
+    """Documents as CSV files with line breaks, quotes and empty lines in their cells, read by splits.
+
+    Each task writes the file of its own rows, so no task has more of the table than a split.
+    """
     root = scratch_dir(spark, "csv-splits")
     text = F.concat(F.lit('"'), F.col("text"), F.lit('"\n\n,"",\r\n'), F.col("source"))
     docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), "lang")
-    writer = docs.coalesce(1).write.option("header", True).option("quote", '"').option("escape", '"')
+    writer = docs.write.option("header", True).option("quote", '"').option("escape", '"')
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/in")
     read = read_csv_text(spark, [f"{root}/in"])
     return read.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
