@@ -104,6 +104,33 @@ def test_components_of_chains_stars_and_loops(spark):
     assert components.components(spark.createDataFrame([], "x long, y long")).count() == 0
 
 
+@pytest.fixture
+def many_shuffle_partitions(spark):
+    wanted = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("of_task", (components.EDGES_A_TASK, 30))
+def test_rounds_take_tasks_by_edges(spark, many_shuffle_partitions, monkeypatch, of_task):
+    """A few edges take one task a round, not one for each shuffle partition; results are the same."""
+    rounds = []
+    real = components.cut
+    monkeypatch.setattr(components, "cut", lambda df: rounds.append(real(df)) or rounds[-1])
+    monkeypatch.setattr(components, "EDGES_A_TASK", of_task)
+    rng = np.random.default_rng(12)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 150, (100, 2)) if a != b]
+    nodes = {n for e in edges for n in e}
+    found = components.components(spark.createDataFrame(edges, "x long, y long")).collect()
+    assert {r["node"]: r["root"] for r in found} == roots(edges, nodes) and len(found) == len(nodes)
+    if of_task > len(edges):
+        assert [r.rdd.getNumPartitions() for r in rounds[1:]] == [1] * (len(rounds) - 1)
+
+
 BOILERPLATE = "This line is on many sites, as it is."
 
 

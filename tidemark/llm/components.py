@@ -7,20 +7,24 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut
 
+# Edges that a task takes at least, if there are so many.
+EDGES_A_TASK = 1 << 18
 
-def large_star(edges: DataFrame) -> DataFrame:
+
+def large_star(edges: DataFrame, n_parts: int) -> DataFrame:
     """Larger neighbours of each node are hung on its least neighbour, or on itself."""
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(n_parts)
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     hung = both.filter(F.col("v") > F.col("u")).join(least, "u")
     return hung.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def small_star(edges: DataFrame) -> DataFrame:
+def small_star(edges: DataFrame, n_parts: int) -> DataFrame:
     """Smaller neighbours of each node and the node are hung on the least of them."""
+    edges = edges.coalesce(n_parts)
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     rest = edges.join(least, "u").filter(F.col("v") > F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return rest.union(least.select("u", F.col("m").alias("v"))).distinct()
+    return rest.union(least.select("u", F.col("m").alias("v"))).coalesce(n_parts).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -29,16 +33,19 @@ def components(edges: DataFrame) -> DataFrame:
     `edges` has two columns of one orderable type; their direction, repeats and loops
     do not matter, and rows with a NULL are no edges. Star operations alternate until
     nothing changes, each round kept in the shared folder. No node's neighbours are
-    gathered: minima are aggregated and joined back.
+    gathered: minima are aggregated and joined back. Rounds never have more edges than
+    the first, so tasks are as many as those need: a graph of few edges takes a few tasks
+    a round, not one for each shuffle partition.
     """
     a, b = (F.col(c) for c in edges.columns)
     edges = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(a.isNotNull() & b.isNotNull() & (a != b)).distinct())
-    state = None
+    state = n_parts = None
     while True:
         found = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if (found["n"], found["h"]) == state or not found["n"]:
             break
         state = (found["n"], found["h"])
-        edges = cut(small_star(large_star(edges)))
+        n_parts = n_parts or -(-found["n"] // EDGES_A_TASK)
+        edges = cut(small_star(large_star(edges, n_parts), n_parts))
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.union(edges.select("v", "v").distinct())
