@@ -221,3 +221,12 @@ def test_search_with_few_candidates(spark):
     found = topk.search(rows, rows.filter("id = 1"), 20).collect()
     assert [(r["rank"], r["vec_id"], r["score"]) for r in found] == [(1, 2, 3), (2, 3, 0)]
     assert topk.search(rows.limit(0), rows.limit(0), 20).count() == 0
+
+
+def test_a_forest_has_an_edge_for_a_node_at_most(spark, monkeypatch):
+    """A dense graph is left with a star for each task, whatever the number of its edges."""
+    edges = [(a, b) for a in range(40) for b in range(a)] + [(100, 99)]
+    frame = spark.createDataFrame(edges, "u long, v long").coalesce(1)
+    found = [tuple(r) for r in components.forest(frame).collect()]
+    assert sorted(found) == [(n, 0) for n in range(1, 40)] + [(100, 99)]
+    assert components.forest(frame.limit(0)).collect() == []
